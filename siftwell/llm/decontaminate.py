@@ -83,7 +83,7 @@ def merged(begin: np.ndarray, end: np.ndarray) -> list[list[int]]:
 def _pass(docs: DataFrame, phrases: Phrases, text_col: str, others: list[str]) -> DataFrame:
     """One pass of one block: adds to _n_words, _spans (flat begins and ends of removal spans) and _items of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
-    schema = docs.select(*others, F.col(text_col)).schema.simpleString()[7:-1]
+    schema = docs.select(*others, F.col(text_col)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -120,8 +120,8 @@ def _pass(docs: DataFrame, phrases: Phrases, text_col: str, others: list[str]) -
     return docs.select(*others, F.col(text_col)).mapInArrow(run, schema)
 
 
-def find_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Every row of docs (id, text) with _n_words, _spans and _items.
+def find_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
+    """Every row of docs (doc_id and text, or the columns named in keep) with _n_words, _spans and _items.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased. A window is ``WINDOW`` consecutive words of an
     item, or all of a shorter item. _spans: merged word ranges of all occurrences; _items: items with occurring windows, as
@@ -131,17 +131,21 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = benchmark.filter(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_col).alias("i"), F.col(item_text).alias("x"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("x")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
+    own = ["doc_id"] if keep is None else [f"_c{i}" for i in range(len(keep))]
+    carried = [F.col(id_col).alias("doc_id")] if keep is None else [F.col(f"`{c}`").alias(n) for n, c in zip(own, keep, strict=True)]
     out = docs.select(
-        F.col(id_col).alias("doc_id"),
+        *carried,
         F.lit(0).cast("long").alias("_n_words"),
         F.array().cast("array<int>").alias("_spans"),
         F.array().cast("array<string>").alias("_items"),
-        F.col(text_col).alias("text"),
+        F.col(text_col).alias("_text"),
     )
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("i", "x"), F.lit(blocks)) == k).collect()
-        out = _pass(out, Phrases([(r.i, r.x) for r in block]), "text", ["doc_id", "_n_words", "_spans", "_items"])
-    return out
+        out = _pass(out, Phrases([(r.i, r.x) for r in block]), "_text", [*own, "_n_words", "_spans", "_items"])
+    if keep is None:
+        return out.withColumnRenamed("_text", "text")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(own, keep, strict=True)], "_n_words", "_spans", "_items")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_buffers
 
@@ -272,13 +273,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(texts, labels)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, from its whole text alone.
 
     ``und`` with score 0 where the text is null or has no letter, or where no language was learned. Repeated rows give repeated
-    results; a null id is carried through and is not held out. Extra columns are ignored.
+    results; a null id is carried through and is not held out. Extra columns are ignored,
+    but for those named in keep, which are carried through.
     """
 
+    keep = keep or []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
@@ -290,17 +294,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             none = np.array([not model.languages or t is None or LETTER.search(t) is None for t in text.to_pylist()], bool)
             best[none], score[none] = len(model.languages), 0.0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score, pa.float64())],
-                names=["doc_id", "held_out", "lang_pred", "score"],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score, pa.float64()), *map(batch.column, keep)],
+                names=["doc_id", "held_out", "lang_pred", "score", *keep],
             )
 
     ready = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("t"),
+        *keep,
     )
-    kind = ready.schema["doc_id"].dataType.simpleString()
-    return ready.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([ready.schema["doc_id"], ready.schema["held_out"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(ready.schema[name] for name in keep)])
+    return ready.mapInArrow(run, schema)
 
 
 def language_id(docs: DataFrame) -> DataFrame:

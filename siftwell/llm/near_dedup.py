@@ -66,11 +66,11 @@ def signatures(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
     live = np.flatnonzero(many[row] > 1)
     row, element, weight = row[live], element[live], weight[live]
     time = np.zeros(len(row))
-    step = U64(0)
+    step = 0
     latest = np.full(n, np.inf)
     while len(row):
-        step += U64(1)
-        draw = mix(element + step * GOLDEN)
+        step += 1
+        draw = mix(element + U64(step * int(GOLDEN) % (1 << 64)))
         time += -np.log(((draw >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight
         # The component comes from bits of a second draw, so that it doesn't depend on the waiting time.
         place = row * components + (mix(draw) % U64(components)).astype(np.int64)

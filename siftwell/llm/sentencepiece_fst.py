@@ -6,7 +6,7 @@ composed with them lazily, and the path of least weight in the tropical semiring
 
 Weights: of a unigram model, minus the piece's score, for all contexts. Of a BPE model, 0 if merging the two pieces' joined text
 gives just these two, else infinite: a sequence is the canonical BPE encoding exactly if each adjacent pair is, so one path has a
-finite weight. It then holds for each prefix too, so that one state for each position is enough.
+finite weight. As each prefix of it is canonical too, one state for each position is enough.
 """
 
 from __future__ import annotations
@@ -15,19 +15,22 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Kinds of pieces and models in the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Entries of a task's caches; a full cache is emptied.
-CACHE = 400_000
+#: Entries of a task's caches of parts and of pairs; a full cache is emptied.
+CACHE = 600_000
+PAIRS = 1_000_000
 #: A part: the spaces before a word and the word. No piece spans two parts (checked when the model is compiled).
 PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -57,6 +60,21 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             i += size
 
 
+class Kept(dict):
+    """A cache that makes what it lacks, keeps short keys, and is emptied when full."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        found = self.make(key)
+        if len(key) <= 48:
+            if len(self) >= CACHE:
+                self.clear()
+            self[key] = found
+        return found
+
+
 @dataclass
 class Transducer:
     pieces: list[str]
@@ -68,18 +86,30 @@ class Transducer:
     escape: bool = True
     by_text: dict[str, int] = field(default_factory=dict)
     bytes_of: list[int] = field(default_factory=list)
-    longest: int = 1
+    trie: dict = field(default_factory=dict)
+    inner: set[tuple[str, str]] = field(default_factory=set)
+    spine_cache: dict[int, tuple | None] = field(default_factory=dict)
     pair_cache: dict[int, bool] = field(default_factory=dict)
     part_cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    word_cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self._caches()
         self.by_text = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (NORMAL, USER)}
         self.bytes_of = [-1] * 256
         for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)):
             if k == BYTE:
                 self.bytes_of[int(p[1:-1], 16)] = i
+        self.odd = {i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (UNKNOWN, CONTROL) or k == BYTE and int(p[1:-1], 16) > 127}
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
-        self.longest = max(map(len, self.by_text), default=1)
+        for text, i in self.by_text.items():
+            node = self.trie
+            for char in text:
+                node = node.setdefault(char, {})
+            node[""] = i
+            self.inner.update(zip(text, text[1:]))
+        self.lone = {c for c in "\n" if not any(c in text for text in self.by_text)}
+        self.plain = [chr(int(p[1:-1], 16)) if k == BYTE and int(p[1:-1], 16) < 128 else p.replace(SPACE, " ") if self.escape else p for p, k in zip(self.pieces, self.kinds, strict=True)]
         self.whole_parts = all(PART.match(p).end() == len(p) for p in self.by_text if p)
         self.lowest = min(self.scores, default=0.0) - 10.0
 
@@ -93,108 +123,212 @@ class Transducer:
             text = " " + text
         return text.replace(" ", SPACE) if self.escape else text
 
-    def merges(self, text: str) -> list[str]:
-        """Merging by score, the leftmost first: what the context machine's weights come from."""
-        symbols = list(text)
+    def merges(self, text: str) -> list[tuple]:
+        """Merging by score, the leftmost first: trees (text, rank, left, right); a character's rank is -inf."""
+        symbols: list[tuple] = [(c, -math.inf, None, None) for c in text]
         while True:
-            best, at = -math.inf, -1
+            best, at = math.inf, -1
             for i in range(len(symbols) - 1):
-                piece = self.by_text.get(symbols[i] + symbols[i + 1])
-                if piece is not None and self.scores[piece] > best:
-                    best, at = self.scores[piece], i
+                piece = self.by_text.get(symbols[i][0] + symbols[i + 1][0])
+                if piece is not None and -self.scores[piece] < best:
+                    best, at = -self.scores[piece], i
             if at < 0:
                 return symbols
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            a, b = symbols[at : at + 2]
+            symbols[at : at + 2] = [(a[0] + b[0], best, a, b)]
+
+    def spines(self, piece: int) -> tuple | None:
+        """Of a piece, (left edge, right edge, in order): each edge has from the character upwards what stands there and the rank
+        of the merge that ends it; in order: each merge ranks after those below it. None if merging gives other pieces."""
+        found = self.spine_cache.get(piece, ())
+        if found == ():
+            trees = self.merges(self.pieces[piece])
+            found = None
+            if len(trees) == 1:
+                edges = []
+                for side in (2, 3):
+                    node, until, edge = trees[0], math.inf, []
+                    while node is not None:
+                        edge.append((node[0], until))
+                        node, until = node[side], node[1]
+                    edges.append(edge[::-1])
+                stack, in_order = [trees[0]], True
+                while stack:
+                    _, rank, *below = stack.pop()
+                    for child in below:
+                        if child is not None:
+                            in_order &= child[1] < rank
+                            stack.append(child)
+                found = (*edges, in_order)
+            self.spine_cache[piece] = found
+        return found
 
     def weight(self, before: int, piece: int) -> float:
-        """Of an arc of the context machine (BPE): 0 or infinite."""
+        """Of an arc of the context machine (BPE): 0 if no merge crosses the border while both pieces build up, else infinite."""
+        one, two = self.spines(before), self.spines(piece)
+        if one is None or two is None:
+            return math.inf
+        if not (one[2] and two[2]):
+            joined = self.merges(self.pieces[before] + self.pieces[piece])
+            return 0.0 if [t[0] for t in joined] == [self.pieces[before], self.pieces[piece]] else math.inf
+        right, left = one[1], two[0]
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = right[i], left[j]
+            crossing = self.by_text.get(x + y)
+            # Of merges of the same rank the leftmost is done first.
+            if crossing is not None and (rank := -self.scores[crossing]) < x_ends and rank <= y_ends:
+                return math.inf
+            if x_ends == y_ends == math.inf:
+                return 0.0
+            if x_ends <= y_ends:
+                i += 1
+            else:
+                j += 1
+
+    def _allowed(self, before: int, piece: int) -> bool:
         key = before * 0x100000 + piece
         ok = self.pair_cache.get(key)
         if ok is None:
-            a, b = self.pieces[before], self.pieces[piece]
-            ok = self.merges(a + b) == [a, b]
-            if len(self.pair_cache) >= CACHE:
+            if len(self.pair_cache) >= PAIRS:
                 self.pair_cache.clear()
-            self.pair_cache[key] = ok
-        return 0.0 if ok else math.inf
+            ok = self.pair_cache[key] = self.weight(before, piece) == 0.0 if before >= 0 else self.spines(piece) is not None
+        return ok
 
-    def _fallback(self, char: str) -> tuple[int, ...]:
-        ids = tuple(self.bytes_of[b] for b in char.encode("utf-8", "replace"))
-        return ids if -1 not in ids else (self.unknown,)
+    def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
+        """(label, end) of the piece transducer's arcs from a position, shortest first; byte fallback (label -1) for a character
+        that is no piece."""
+        node, out = self.trie, []
+        for end in range(at, len(text)):
+            node = node.get(text[end])
+            if node is None:
+                break
+            label = node.get("")
+            if label is not None:
+                out.append((label, end + 1))
+        if not out or out[0][1] > at + 1:
+            out.insert(0, (-1, at + 1))
+        return out
 
     def shortest(self, text: str) -> list[int]:
-        """Output labels of the shortest path through the composition with one part."""
+        """Output labels of the least-weight path through the composition with one part.
+
+        Unigram: relaxation in order of position. BPE: as all weights are 0 or infinite, the first complete path of finite
+        weight; it is found depth-first with the longest arc first, and a position that led nowhere isn't tried again.
+        """
         n = len(text)
-        get, longest, pairs = self.by_text.get, self.longest, self.pair_cache
-        whole = get(text)
-        bpe = self.model == BPE
-        if n == 1 and whole is not None:
+        whole = self.by_text.get(text)
+        if whole is not None and (n == 1 or self.model == BPE and self.spines(whole) is not None):
             return [whole]
-        # Of each position: the least weight, the last label (-1: byte fallback, -2: none) and where its arc begins.
-        cost, last, back = [math.inf] * (n + 1), [-2] * (n + 1), [0] * (n + 1)
-        cost[0] = 0.0
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - longest), end):
-                if cost[begin] == math.inf:
-                    continue
-                piece = get(text[begin:end])
-                if piece is None:
-                    if end - begin > 1:
-                        continue
-                    found, label = cost[begin] + (0.0 if bpe else -self.lowest), -1
-                elif bpe:
-                    prior = last[begin]
-                    if prior >= 0:
-                        ok = pairs.get(prior * 0x100000 + piece)
-                        if ok is None:
-                            ok = self.weight(prior, piece) == 0.0
-                        if not ok:
-                            continue
-                    elif prior == -2 and end - begin > 2 and not self._stands(piece):
-                        continue
-                    found, label = cost[begin], piece
-                else:
-                    found, label = cost[begin] - self.scores[piece], piece
-                if found < cost[end]:
-                    cost[end], last[end], back[end] = found, label, begin
-                    if bpe:
-                        break
+        if self.model == BPE:
+            path = self._first_path(text)
+        else:
+            cost, back = [0.0] + [math.inf] * n, [(-1, 0)] * (n + 1)
+            for at in range(n):
+                for label, end in self.arcs(text, at):
+                    found = cost[at] - (self.scores[label] if label >= 0 else self.lowest)
+                    if found < cost[end]:
+                        cost[end], back[end] = found, (label, at)
+            path, end = [], n
+            while end:
+                label, at = back[end]
+                path.append((label, at, end))
+                end = at
+            path.reverse()
         out: list[int] = []
-        end = n
-        while end:
-            begin = back[end]
-            out[:0] = (last[end],) if last[end] >= 0 else self._fallback(text[begin:end])
-            end = begin
+        for label, at, end in path:
+            out += (label,) if label >= 0 else self._fallback(text[at:end])
         return out
 
-    def _stands(self, piece: int) -> bool:
-        """Whether merging a piece's own text gives the piece."""
-        key = -1 - piece
-        ok = self.pair_cache.get(key)
-        if ok is None:
-            text = self.pieces[piece]
-            ok = self.pair_cache[key] = self.merges(text) == [text]
-        return ok
+    def _first_path(self, text: str) -> list[tuple[int, int, int]]:
+        n = len(text)
+        pairs, trie, allowed = self.pair_cache, self.trie, self._allowed
+        labels, begins, waiting, dead = [-2], [0], [], set()
+        at, before = 0, -2
+        options = None
+        while True:
+            if options is None:
+                # The arcs from here, shortest first.
+                node, options, end = trie, [], at
+                while end < n:
+                    node = node.get(text[end])
+                    if node is None:
+                        break
+                    end += 1
+                    label = node.get("")
+                    if label is not None:
+                        options.append((label, end))
+                if not options or options[0][1] > at + 1:
+                    options.insert(0, (-1, at + 1))
+            while options:
+                label, end = options.pop()
+                if end in dead:
+                    continue
+                if label < 0 or before == -1:
+                    break
+                ok = pairs.get(before * 0x100000 + label) if before >= 0 else end == at + 1 or None
+                if ok or ok is None and allowed(before, label):
+                    break
+            else:
+                dead.add(at)
+                labels.pop()
+                at, options, before = begins.pop(), waiting.pop(), labels[-1]
+                continue
+            labels.append(label)
+            begins.append(at)
+            if end == n:
+                return list(zip(labels[1:], begins[1:], [*begins[2:], n], strict=True))
+            waiting.append(options)
+            at, before, options = end, label, None
+
+    def _fallback(self, char: str) -> tuple[int, ...]:
+        ids = tuple(self.bytes_of[b] for b in char.encode("utf-8", "replace"))
+        return ids if -1 not in ids else (self.unknown,)
+
+    def part(self, text: str) -> tuple[int, ...]:
+        """The encoding of one part. No arc spans two characters that no piece has side by side, so it is cut there first."""
+        inner = self.inner
+        for k, pair in enumerate(zip(text, text[1:]), 1):
+            if pair not in inner:
+                return self.part_cache[text[:k]] + self.part_cache[text[k:]] if k < 40 else tuple(self._pieces_of(text))
+        return tuple(self.shortest(text))
+
+    def _pieces_of(self, text: str) -> Iterator[int]:
+        begin = 0
+        for k, pair in enumerate(zip(text, text[1:]), 1):
+            if pair not in self.inner:
+                yield from self.shortest(text[begin:k])
+                begin = k
+        yield from self.shortest(text[begin:])
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         tape = self.normalise(text)
-        cache = self.part_cache
-        out: list[int] = []
-        for part in PART.findall(tape) if self.whole_parts else [tape]:
-            ids = cache.get(part)
-            if ids is None:
-                ids = tuple(self.shortest(part))
-                if len(part) <= 48:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[part] = ids
-            out += ids
-        return out
+        if not self.whole_parts:
+            return self.shortest(tape)
+        get = self.part_cache.__getitem__
+        if self.lone and self.escape:
+            out: list[int] = []
+            for k, line in enumerate(tape.split("\n")):
+                if k:
+                    out += get("\n")
+                if line:
+                    if SPACE + SPACE in line or line[-1] == SPACE:
+                        out += chain.from_iterable(map(get, PART.findall(line)))
+                    else:
+                        first, *words = line.split(SPACE)
+                        if first:
+                            out += get(first)
+                        out += chain.from_iterable(map(self.word_cache.__getitem__, words))
+            return out
+        return list(chain.from_iterable(map(get, PART.findall(tape))))
 
     def decode(self, ids: list[int]) -> str:
         """The output projected back: pieces to text, runs of byte pieces to UTF-8, U+2581 to spaces, without the dummy prefix."""
+        if not self.odd.intersection(ids):
+            text = "".join(map(self.plain.__getitem__, ids))
+            return text[1:] if self.dummy_prefix and text.startswith(" ") else text
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -214,11 +348,18 @@ class Transducer:
         text = text.replace(SPACE, " ") if self.escape else text
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
+    def _caches(self) -> None:
+        self.spine_cache, self.pair_cache = {}, {}
+        self.part_cache = Kept(self.part)
+        # Of words by what follows the space before them.
+        self.word_cache = Kept(lambda word: self.part(SPACE + word))
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("pair_cache", "part_cache")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("spine_cache", "pair_cache", "part_cache", "word_cache")}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state, pair_cache={}, part_cache={})
+        self.__dict__.update(state)
+        self._caches()
 
 
 def compile_model(path: str = MODEL) -> Transducer:
@@ -250,7 +391,7 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", others:
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     others = [c for c in docs.columns if c != text_col] if others is None else others
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(others)], F.col(text_col).alias("_t"))
-    schema = plain.drop("_t").schema.add("_ids", "array<int>").add("_back", "string")
+    schema = plain.drop("_t").schema.add("_ids", T.ArrayType(T.IntegerType())).add("_back", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
