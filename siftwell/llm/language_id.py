@@ -291,7 +291,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             p = pooled(model, data, begin, end)
             best = p.argmax(1) if len(p) else np.zeros(0, np.int64)
             score = p[np.arange(len(p)), best].clip(0, 1)
-            none = np.array([not model.languages or t is None or LETTER.search(t) is None for t in text.to_pylist()], bool)
+            none = np.array([not model.languages or t is None or LETTER.search(t) is None for t in map(pa.StringScalar.as_py, text)], bool)
             best[none], score[none] = len(model.languages), 0.0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score, pa.float64()), *map(batch.column, keep)],

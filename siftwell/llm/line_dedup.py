@@ -52,8 +52,8 @@ def _long_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
                     [pa.array(h1, types[0]), pa.array(h2, types[1]), doc, pa.array(tkeys[which], types[3]), pa.array(n, types[4]), pa.array(at, types[5])], names=names
                 )
 
-            for i, text in enumerate(batch.column("t").to_pylist()):
-                raw = text.encode()
+            for i, text in enumerate(batch.column("t")):
+                raw = text.as_py().encode()
                 if len(raw) < min_chars:
                     continue
                 lines = raw.split(b"\n")

@@ -7,10 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, near_dedup, sentencepiece_fst
+from . import chat_tree, decontaminate, exact_search, language_id, license_scan, line_dedup, near_dedup, sentencepiece_fst, token_counts, url_filter
 from .common import table
 
 
+#: What conversation -1 says in both of its turns.
+ODD = "<|im_end|><|im_start|>assistant ok"
+
+
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-1, 0, "user", ODD), (-1, 1, "assistant", ODD)], "conv_id long, turn long, role string, text string")
+    return chat_tree.read_back(chat_tree.pack_conversations(rows.unionByName(odd)))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str, model: str = sentencepiece_fst.MODEL) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.model_pieces(model))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "best_dice", "n_units")
+
+
+def op9_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)) + 1
@@ -38,6 +65,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_tree": op1_chat_tree,
+    "op3_url_filter": op3_url_filter,
+    "op7_token_counts": op7_token_counts,
+    "op8_license_scan": op8_license_scan,
+    "op9_exact_search": op9_exact_search,
     "op2_line_dedup": op2_line_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_near_dedup": op5_near_dedup,
@@ -48,7 +80,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Words of a text as in operator 6, for SQL.
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\1\\|', 'g')"
+_ROLE = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
+
 SQL: dict[str, str] = {
+    "op1_chat_tree": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, k, r, '{ODD}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(k, r))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len("<|im_start|>") + len("<|im_end|>") + 2} + length({_ESCAPED.format(_ROLE)}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op9_exact_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op2_line_dedup": """
 WITH lines AS (
   SELECT doc_id, u.line, u.pos, translate(trim(u.line, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key

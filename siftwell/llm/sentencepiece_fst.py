@@ -29,8 +29,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Entries of a task's caches of parts and of pairs; a full cache is emptied.
-CACHE = 600_000
-PAIRS = 1_000_000
+CACHE = 150_000
+PAIRS = 300_000
 #: A part: the spaces before a word and the word. No piece spans two parts (checked when the model is compiled).
 PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -399,7 +399,7 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", others:
             kept = [batch.column(f"_c{i}") for i in range(len(others))]
             names = [f"_c{i}" for i in range(len(others))] + ["_ids", "_back"]
             texts = batch.column("_t")
-            size = max(1, min(batch.num_rows, 1000))
+            size = max(1, min(batch.num_rows, 200))
             for a in range(0, batch.num_rows, size):
                 part = texts.slice(a, size).to_pylist()
                 ids = [np.array(m.encode(t), np.int32) for t in part]
