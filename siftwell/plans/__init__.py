@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import matching, scoring
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**scoring.QUERIES, **matching.QUERIES}
+SQL: dict[str, str] = {**scoring.SQL, **matching.SQL}
