@@ -28,6 +28,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 STRIPPED = b" \t\n\x0b\x0c\r"
 ROW_OUT = 20_000
+SALTS = 16
 
 
 def line_key(line: bytes) -> bytes:
@@ -148,7 +149,10 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def pack(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
         return pd.Series([keep_bitmap(n, d) for n, d in zip(n_lines, dropped, strict=True)], dtype=object)
 
-    lost = ranged.join(common, ["h1", "h2"]).filter(F.col("doc") != F.col("last_doc"))
+    # Salted, so that a line in very many documents is dealt to SALTS tasks.
+    salted = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = ranged.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    lost = met.join(salted, ["h1", "h2", "salt"]).filter(F.col("doc") != F.col("last_doc"))
     return (
         lost.groupBy("doc", "tkey")
         .agg(F.max("n_lines").alias("n_lines"), F.flatten(F.collect_set("at")).alias("gone"))

@@ -5,8 +5,9 @@ the signature; a component keeps its earliest arrival. A shingle is dropped as s
 component's (early termination). Two signatures agree in a component with the probability Jaccard similarity of their documents.
 
 Links are pairs with a Jaccard similarity of 0.8 or more over distinct shingles, checked exactly. Classes are the components of the
-links. Pairs of a bucket aren't all listed: first every member is compared with the bucket's most central one; then only members
-that are still apart, with all others of their bucket that are in another class. Pairs already in one class need no check.
+links. Pairs of a bucket aren't all listed: first every member is compared with the bucket's most typical one; then only members
+that are still apart, with all others of their bucket that are in another class. Pairs already in one class need no check, nor do
+pairs whose similarity can't reach 0.8 because of shingles that no other document has (an exact bound).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import GOLDEN, U64, cut, hashes_of_rows, mix, slices, text_buffers, word_hashes
@@ -134,9 +135,16 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {kind}, set array<long>")
 
 
-def _sizes_fit(a: str, b: str) -> F.Column:
-    """Jaccard 0.8 is out of reach where one set is under 0.8 of the other's size."""
-    return F.least(a, b) >= F.lit(SIMILAR) * F.greatest(a, b)
+def _in_reach(n_a: str, own_a: str, n_b: str, own_b: str) -> Column:
+    """Whether SIMILAR is in reach: own shingles (in no other document) are never common, so that at most the smaller rest is."""
+    most = F.least(F.col(n_a) - F.col(own_a), F.col(n_b) - F.col(own_b))
+    return most >= F.lit(SIMILAR) * (F.col(n_a) + F.col(n_b) - most)
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """rep and own: how many of its shingles no other set has. Counted with partial sums; a common shingle is one sum."""
+    single = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("id").alias("rep")).filter("k = 1")
+    return single.groupBy("rep").agg(F.count("*").alias("own"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -182,27 +190,30 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = groups.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1")
     members = cut(members.join(shared, "bucket"))
-    central = members.groupBy("rep").agg(F.sum("many").alias("met"))
-    hubs = members.join(central, "rep").groupBy("bucket").agg(F.max(F.struct("met", "rep", "n")).alias("hub"))
-    pairs = (
-        members.join(hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_a")), "bucket")
-        .filter((F.col("rep") != F.col("a")) & _sizes_fit("n", "n_a"))
-        .select("a", F.col("rep").alias("b"))
-        .distinct()
-    )
     near = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(members.select("rep").distinct(), F.col("_id") == F.col("rep"), "left_semi")
     sets = cut(shingle_sets(near, "_id", "_t").dropDuplicates(["id"]))
+    central = members.groupBy("rep").agg(F.sum("many").alias("met")).join(own_shingles(sets), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    members = cut(members.join(central, "rep"))
+    # The hub of a bucket is its most typical member: what others copied from has hardly a shingle of its own.
+    typical = (F.col("n") - F.col("own")) / F.col("n")
+    hubs = members.groupBy("bucket").agg(F.max(F.struct(typical.alias("typical"), "met", "rep", "n", "own")).alias("hub"))
+    hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.own").alias("own_a"))
+    pairs = members.join(hubs, "bucket").filter((F.col("rep") != F.col("a")) & _in_reach("n", "own", "n_a", "own_a")).select("a", F.col("rep").alias("b")).distinct()
     links = cut(verified(pairs, sets))
     label = components(links)
     # Buckets that still hold members of several classes: those outside the bucket's main class meet all others.
     placed = members.join(label.withColumnRenamed("id", "rep"), "rep", "left").withColumn("class", F.coalesce("class", "rep"))
-    placed = cut(placed.select("bucket", "rep", "n", "class"))
+    placed = cut(placed.select("bucket", "rep", "n", "own", "class"))
     mixed = placed.groupBy("bucket", "class").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "class")).alias("main"), F.count("*").alias("classes")).filter("classes > 1")
-    left = cut(placed.join(mixed.select("bucket", F.col("main.class").alias("main")), "bucket"))
-    apart = left.filter("class <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("class").alias("class_a"))
+    sizes = placed.groupBy("bucket").agg(F.min("n").alias("least"))
+    left = placed.join(mixed.select("bucket", F.col("main.class").alias("main")), "bucket").join(sizes, "bucket")
+    # By its own shingles a document can only link to sets of up to this size; most have no such mate and need no comparison.
+    bound = F.col("n") / SIMILAR - F.col("own") * (1 + 1 / SIMILAR)
+    left = cut(left.filter(F.col("least") <= bound + 1e-6))
+    apart = left.filter("class <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("class").alias("class_a"))
     rest = (
         left.join(apart, "bucket")
-        .filter((F.col("class") != F.col("class_a")) & _sizes_fit("n", "n_a"))
+        .filter((F.col("class") != F.col("class_a")) & _in_reach("n", "own", "n_a", "own_a"))
         .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
         .distinct()
     )
