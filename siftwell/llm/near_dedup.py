@@ -210,12 +210,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # By its own shingles a document can only link to sets of up to this size; most have no such mate and need no comparison.
     bound = F.col("n") / SIMILAR - F.col("own") * (1 + 1 / SIMILAR)
     left = cut(left.filter(F.col("least") <= bound + 1e-6))
-    apart = left.filter("class <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("class").alias("class_a"))
+    left = left.join(left.groupBy("rep").agg(F.collect_set("bucket").alias("places")), "rep")
+    apart = left.filter("class <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("class").alias("class_a"), F.col("places").alias("places_a"))
+    # A pair is made once: in the first bucket that both have, and with the smaller id first where both are apart.
+    once = ((F.col("class") == F.col("main")) | (F.col("rep") < F.col("a"))) & (F.array_min(F.array_intersect("places", "places_a")) == F.col("bucket"))
     rest = (
         left.join(apart, "bucket")
-        .filter((F.col("class") != F.col("class_a")) & _in_reach("n", "own", "n_a", "own_a"))
+        .filter((F.col("class") != F.col("class_a")) & _in_reach("n", "own", "n_a", "own_a") & once)
         .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-        .distinct()
     )
     more = cut(verified(rest, sets))
     if more.isEmpty():
