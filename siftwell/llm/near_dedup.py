@@ -1,8 +1,9 @@
-"""MinHash near-dedup: ProbMinHash signatures of weighted shingles, banding, and exact verification.
+"""MinHash near-dedup: ProbMinHash signatures of distinct shingles, banding, and exact verification.
 
-Every shingle (five words) is a Poisson process whose rate is its weight, 1 + ln(count). Its arrivals fall on random components of
-the signature; a component keeps its earliest arrival. A shingle is dropped as soon as its next arrival is later than every
-component's (early termination). Two signatures agree in a component with the probability Jaccard similarity of their documents.
+Every shingle (five words) is a Poisson process whose rate is its weight: 1 for each, however often it occurs, as links don't count
+repeats either. Its arrivals fall on random components of the signature; a component keeps its earliest arrival. A shingle is dropped
+as soon as its next arrival is later than every component's (early termination). Two signatures agree in a component with the
+probability Jaccard similarity of their documents, which with equal weights is the Jaccard similarity that is checked.
 
 Links are pairs with a Jaccard similarity of 0.8 or more over distinct shingles, checked exactly. Classes are the components of the
 links. Pairs of a bucket aren't all listed: first every member is compared with the bucket's most typical one; then only members
@@ -106,8 +107,8 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 words, rows = word_hashes(data, begin[a:b], end[a:b])
                 first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, np.int64)
                 place = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)])) if len(rows) else rows
-                row, element, count = shingles(words, rows)
-                signature = signatures(row, element, 1 + np.log(count), n)
+                row, element, _ = shingles(words, rows)
+                signature = signatures(row, element, np.ones(len(row)), n)
                 buckets = bands_of(signature)
                 have = np.bincount(row, minlength=n)
                 none = have == 0

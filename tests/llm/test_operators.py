@@ -140,6 +140,15 @@ def test_near_classes_match_brute_force(spark, odd, none):
     assert near_dedup.near_classes(none).count() == 0
 
 
+def test_near_copies_with_repeated_passages(spark):
+    rows = []
+    for pair in range(20):
+        own = [f"w{pair}x{k}" for k in range(100)]
+        rows += [(2 * pair, " ".join(own)), (2 * pair + 1, " ".join(own[:60] + own[40:60] * 1000 + own[60:]))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(40)}
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 400).astype(np.uint64)
