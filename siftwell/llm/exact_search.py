@@ -4,6 +4,9 @@ Vectors become integers, floor(256 x). Each block of vectors has an approximatio
 ``CELLS`` cells. A query's scan of the cells bounds its score with each vector from both sides. Exact vectors are then read in order of
 their upper bound until the k-th best exact score is above all that are left.
 
+Vectors whose scores a float64 sum may not hold exactly, as queries or as candidates, are bounded by that sum with its rounding error
+instead, and their exact scores are sums of Python integers.
+
 Queries go in blocks of at most ``QUERY_BLOCK`` rows, one pass over all vectors each; a task keeps the k best of its partition for
 each query, and these few are merged by query.
 """
@@ -11,6 +14,7 @@ each query, and these few are merged by query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import inf, isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +27,10 @@ SCALE = 256
 CELLS = 16
 BLOCK = 4096
 QUERY_BLOCK = 4096
-#: Components must be smaller than this in size after scaling, so that scores are exact.
+#: Vectors with a scaled component of this size go by Python integers, as do smaller ones that are long, so that scores are exact.
 LARGEST = 1 << 22
+#: From this size on components are whole numbers, and scaling could overflow.
+WHOLE = 2.0**44
 
 
 class CellFile:
@@ -47,9 +53,64 @@ class CellFile:
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     return np.lexsort((ids, -scores))[:k]
 
 
+def sort_key(score: int) -> bytes:
+    """Bytes in the order of the integers, of any size."""
+    size = (abs(score).bit_length() + 7) // 8
+    key = (0x8000 + size).to_bytes(2, "big") + abs(score).to_bytes(size, "big")
+    return key if score >= 0 else bytes(255 - b for b in key)
+
+
+def exact_limit(d: int) -> int:
+    """Components below this in size have exact float64 sums of d products."""
+    return min(LARGEST, isqrt((1 << 53) // d))
+
+
+def whole_numbers(row: np.ndarray) -> list[int]:
+    """The scaled components of a vector as Python integers."""
+    return [int(x * SCALE) if abs(x) < WHOLE else int(x) * SCALE for x in row.tolist()]
+
+
+def search_large(query: np.ndarray, query_id: int, vectors: np.ndarray, ids: np.ndarray, best_so_far: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Betters what is kept of one query by vectors (not scaled, as the query) of any size."""
+    scores, have = best_so_far
+    own = ids == query_id
+    up = np.where(own, -inf, inf)
+    certain = scores[k - 1] if len(scores) >= k else -inf
+    d = len(query)
+    # Otherwise the sums could overflow, and all vectors are read.
+    if np.frexp(np.abs(query).max())[1] + np.frexp(np.abs(vectors).max())[1] + d.bit_length() < 1000:
+        about = (vectors @ query) * SCALE**2
+        error = (np.abs(vectors) @ np.abs(query)) * (SCALE**2 * (d + 4) * 2.0**-51)
+        low, up = np.where(own, -inf, about - error), np.where(own, -inf, about + error)
+        if len(low) > k:
+            certain = max(certain, float(np.partition(low, len(low) - k)[len(low) - k]))
+    numbers = whole_numbers(query)
+    left = np.flatnonzero((up >= as_float(certain)) & (up > -inf))
+    left = left[np.argsort(-up[left], kind="stable")]
+    while len(left):
+        now, left = left[: 8 * k], left[8 * k :]
+        found = np.empty(len(now), object)
+        found[:] = [sum(a * b for a, b in zip(numbers, whole_numbers(vectors[i]), strict=True)) for i in now]
+        scores, have = np.r_[scores.astype(object), found], np.r_[have, ids[now]]
+        top = best(scores, have, k)
+        scores, have = scores[top], have[top]
+        if len(scores) >= k:
+            left = left[up[left] >= as_float(scores[k - 1])]
+    return scores, have
+
+
+def as_float(score: float) -> float:
+    try:
+        return float(score)
+    except OverflowError:
+        return inf if score > 0 else -inf
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> int:
     """Betters kept (scores, ids of each query) by a block; returns how many exact vectors were read."""
     file = CellFile(vectors)
@@ -64,8 +125,8 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             up, low = np.where(own, -np.inf, up), np.where(own, -np.inf, low)
         certain = scores[k - 1] if len(scores) >= k else -np.inf
         if len(low) > k:
-            certain = max(certain, np.partition(low, len(low) - k)[len(low) - k])
-        left = np.flatnonzero((up >= certain) & (up > -np.inf))
+            certain = max(certain, float(np.partition(low, len(low) - k)[len(low) - k]))
+        left = np.flatnonzero((up >= as_float(certain)) & (up > -np.inf))
         left = left[np.argsort(-up[left], kind="stable")]
         while len(left):
             now, left = left[: 8 * k], left[8 * k :]
@@ -75,18 +136,35 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             top = best(scores, have, k)
             scores, have = scores[top], have[top]
             if len(scores) >= k:
-                left = left[up[left] >= scores[k - 1]]
+                left = left[up[left] >= as_float(scores[k - 1])]
         kept[q] = (scores, have)
     return read
 
 
+def search_any(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
+    """search_block for vectors and queries that aren't scaled yet, of any size."""
+    limit = exact_limit(vectors.shape[1]) / SCALE
+    few, small = np.abs(queries).max(1) < limit, np.abs(vectors).max(1) < limit
+    if small.any() and few.any():
+        at = np.flatnonzero(few)
+        mine = [kept[q] for q in at]
+        search_block((queries[at] * SCALE).astype(np.int32), query_ids[at], (vectors[small] * SCALE).astype(np.int32), ids[small], mine, k)
+        for q, found in zip(at.tolist(), mine, strict=True):
+            kept[q] = found
+    large = vectors[~small], ids[~small]
+    for q in range(len(queries)):
+        rest = large if few[q] else (vectors, ids)
+        if len(rest[1]):
+            kept[q] = search_large(queries[q], query_ids[q], *rest, kept[q], k)
+
+
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id and v (array of int): floor(256 x) with x as double. Left out: null ids, null or empty vectors, null, non-finite or
-    huge (2**22 and more after scaling) components."""
+    """id and v (array of double): floor(256 x) / 256 with x as double, which is exact and can't overflow. Left out: null ids, null
+    or empty vectors, null or non-finite components."""
     x = F.col(vector_col).cast("array<double>")
-    fine = F.forall(x, lambda c: c.isNotNull() & (F.abs(c * SCALE) < LARGEST))
+    fine = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < F.lit(inf)))
     usable = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & F.coalesce(fine, F.lit(False))
-    return vectors.filter(usable).select(F.col(id_col).alias("id"), F.transform(x, lambda c: F.floor(c * SCALE).cast("int")).alias("v"))
+    return vectors.filter(usable).select(F.col(id_col).alias("id"), F.transform(x, lambda c: F.when(F.abs(c) < WHOLE, F.floor(c * SCALE) / float(SCALE)).otherwise(c)).alias("v"))
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding", query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -94,7 +172,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     rows but those of its own id; all, if there are fewer. Ties go to the smaller id.
 
     Rows that repeat an id are candidates each; as a query, the smallest of their vectors stands for the id. Vectors of another
-    length than the query's are no candidates for it.
+    length than the query's are no candidates for it. All finite vectors count; a score beyond a long is null, but ranked exactly.
     """
     ready = quantised(vectors, id_col, vector_col)
     queries = ready.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
@@ -106,7 +184,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
         by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in sorted({len(r.v) for r in mine}):
             same = [r for r in mine if len(r.v) == size]
-            by_length[size] = (np.array([r.id for r in same], np.int64), np.array([r.v for r in same], np.int32))
+            by_length[size] = (np.array([r.id for r in same], np.int64), np.array([r.v for r in same], np.float64))
         shared = vectors.sparkSession.sparkContext.broadcast(by_length)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -124,16 +202,21 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
                         if n in blocks:
                             rows = np.flatnonzero(lengths == n)
                             matrix = values[borders[rows][:, None] + np.arange(n)]
-                            search_block(blocks[n][1], blocks[n][0], matrix, ids[rows], kept[n], k)
+                            search_any(blocks[n][1], blocks[n][0], matrix, ids[rows], kept[n], k)
             for n, (query_ids, _) in blocks.items():
                 many = [len(s) for s, _ in kept[n]]
                 if sum(many):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(query_ids, many)), pa.array(np.concatenate([i for _, i in kept[n]])), pa.array(np.concatenate([s for s, _ in kept[n]]))], names=["query_id", "vec_id", "score"]
-                    )
-
-        part = ready.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(run, "query_id long, vec_id long, score long")
+                    scores = [x for s, _ in kept[n] for x in s.tolist()]
+                    columns = [
+                        pa.array(np.repeat(query_ids, many)),
+                        pa.array(np.concatenate([i for _, i in kept[n]])),
+                        pa.array([x if -(1 << 63) <= x < 1 << 63 else None for x in scores], pa.int64()),
+                        pa.array(map(sort_key, scores), pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "key"])
+
+        part = ready.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(run, "query_id long, vec_id long, score long, key binary")
         found = part if found is None else found.union(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("key"), "vec_id")
     top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return top.select(F.col("query_id").cast(kind).alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").cast(kind).alias("vec_id"), "score")

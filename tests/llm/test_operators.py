@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -237,6 +238,34 @@ def test_exact_search(spark):
     assert set(got) == set(range(0, 400, 50))
 
 
+@pytest.mark.parametrize(("size", "kind"), [(8, "float"), (600, "float"), (8, "double")])
+def test_exact_search_of_large_components(spark, size, kind):
+    rng = np.random.default_rng(6)
+    scale = 10.0 ** rng.integers(0, 36 if kind == "float" else 300, (300, 1))
+    scale[:100] = rng.choice([1.0, 16000, 40000, 1e6], (100, 1))
+    vectors = rng.normal(0, 1, (300, size)) * scale
+    vectors[100:110] = vectors[100]
+    vectors[7] = 1.7e308 if kind == "double" else 3e38
+    vectors[8] = -vectors[7]
+    vectors[9, 0] = np.inf
+    vectors = vectors.astype(np.float32).astype(np.float64) if kind == "float" else vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    whole = {i: [int(Fraction(x) * 256 // 1) for x in v] for i, v in rows if np.isfinite(v).all()}
+    got = defaultdict(list)
+    for r in exact_search.top_k(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), every=30).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == set(range(0, 300, 30))
+    for q, found in got.items():
+        scores = {i: sum(a * b for a, b in zip(whole[q], v, strict=True)) for i, v in whole.items() if i != q}
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        assert found == [(i, scores[i] if -(2**63) <= scores[i] < 2**63 else None) for i in want]
+
+
+def test_sort_key_keeps_order():
+    numbers = sorted({s * 2**e + a for s in (-1, 1) for e in (0, 1, 7, 8, 16, 63, 64, 300) for a in (-1, 0, 1)})
+    assert sorted(numbers, key=exact_search.sort_key) == numbers
+
+
 def test_language_gradients_and_accuracy(spark, odd, none):
     rng = np.random.default_rng(0)
     h = language_id.HIDDEN
