@@ -63,6 +63,14 @@ def fuzzy_join(a: DataFrame, a_name: str, b: DataFrame, b_name: str, most: int =
     return pairs.withColumn("distance", F.levenshtein(a_name, b_name)).filter(F.col("distance") <= most)
 
 
+def length_pairs(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
+    """a_name, b_name: all pairs of names whose lengths are near. One name of each length is compared, then lengths are joined on."""
+    left, right = a.select(a_name, F.length(a_name).alias("_la")), b.select(b_name, F.length(b_name).alias("_lb"))
+    one, two = left.groupBy("_la").agg(F.min(a_name).alias("_a")), right.groupBy("_lb").agg(F.min(b_name).alias("_b"))
+    lengths = one.join(two, sim.lengths_near(F.col("_a"), F.col("_b"))).select("_la", "_lb")
+    return left.join(lengths, "_la").join(right, "_lb").select(a_name, b_name)
+
+
 def shared_members(a: DataFrame, a_key: str, b: DataFrame, b_key: str, member: str) -> DataFrame:
     """a_key, b_key, n_common, n_a, n_b, jaccard, overlap of all pairs of sets that share a member: from one equi-join and counts,
     no set is ever gathered."""

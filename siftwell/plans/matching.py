@@ -147,7 +147,7 @@ def tanimoto_topk(spark, d):
 
 def difflib_ratio(spark, d):
     names = _t(spark, d, "part").select("p_name").distinct()
-    pairs = names.join(names.select(F.col("p_name").alias("other"), F.substring("p_name", 1, 3).alias("k")), F.substring("p_name", 1, 3) == F.col("k")).filter(sim.lengths_near(F.col("p_name"), F.col("other")))
+    pairs = R.length_pairs(names, "p_name", names.withColumnRenamed("p_name", "other"), "other")
     return pairs.select("p_name", "other", F.round(sim.sequence_ratio(F.col("p_name"), F.col("other")), 6).alias("ratio"))
 
 

@@ -1,4 +1,5 @@
 import math
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from siftwell.functions import similarity as sim
 from siftwell.functions import stats
 from siftwell.functions import text as T
 from siftwell.operators import resolve as R
+from siftwell.plans import matching
 from siftwell.sources import readers
 
 
@@ -37,6 +39,14 @@ def test_deletion_keys_recall_two_insertions(spark):
     assert {(r.b, r.distance) for r in R.fuzzy_join(a, "a", b, "b").collect()} == {("gluxcoyse", 2), ("glucos", 1)}
 
 
+def test_difflib_ratio_of_all_near_lengths(spark, tmp_path):
+    names = ["cold anvil", "old anvil", "cold", "bold anvils", "a", "ab", "", "a much longer name than these", "other name of that length now"]
+    spark.createDataFrame([(n,) for n in [*names, "cold", None]], "p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    got = {(r.p_name, r.other): r.ratio for r in matching.difflib_ratio(spark, str(tmp_path)).collect()}
+    near = [(a, b) for a in names for b in names if max(len(a), len(b)) and abs(len(a) - len(b)) <= 0.4 * max(len(a), len(b))]
+    assert got == {(a, b): round(SequenceMatcher(None, a, b).ratio(), 6) for a, b in near}
+
+
 def test_tanimoto_and_dice(spark):
     assert one(spark, sim.tanimoto(F.col("a"), F.col("b")), a=[7, 0], b=[3, 1]) == pytest.approx(0.5)
     assert one(spark, sim.dice(F.col("a"), F.col("b")), a=["x", "y"], b=["y", "z"]) == pytest.approx(0.5)
