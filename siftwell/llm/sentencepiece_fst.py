@@ -288,18 +288,14 @@ class Transducer:
     def part(self, text: str) -> tuple[int, ...]:
         """The encoding of one part. No arc spans two characters that no piece has side by side, so it is cut there first."""
         inner = self.inner
-        for k, pair in enumerate(zip(text, text[1:]), 1):
-            if pair not in inner:
-                return self.part_cache[text[:k]] + self.part_cache[text[k:]] if k < 40 else tuple(self._pieces_of(text))
-        return tuple(self.shortest(text))
-
-    def _pieces_of(self, text: str) -> Iterator[int]:
-        begin = 0
-        for k, pair in enumerate(zip(text, text[1:]), 1):
-            if pair not in self.inner:
-                yield from self.shortest(text[begin:k])
-                begin = k
-        yield from self.shortest(text[begin:])
+        cuts = [k for k, pair in enumerate(zip(text, text[1:]), 1) if pair not in inner]
+        if not cuts:
+            return tuple(self.shortest(text))
+        out: list[int] = []
+        for begin, end in zip([0, *cuts], [*cuts, len(text)], strict=True):
+            # What is between two cuts has none, so the cache doesn't come back here more than once.
+            out += self.part_cache[text[begin:end]] if end - begin < 40 else self.shortest(text[begin:end])
+        return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:
         if not text:

@@ -110,6 +110,18 @@ def test_sentencepiece_is_the_librarys(odd, none):
     assert sentencepiece_fst.encode(none).count() == 0
 
 
+@pytest.mark.parametrize("run", ["7", "0123456789", "日", "日本語中文字", "。", "🤗"])
+def test_sentencepiece_of_long_runs(run):
+    import sentencepiece
+
+    theirs = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_fst.MODEL)
+    mine = sentencepiece_fst.compile_model()
+    for text in ((run * 5000)[:5000], "a " + (run * 5000)[:5000] + " b"):
+        ids = mine.encode(text)
+        assert ids == theirs.encode(text)
+        assert mine.decode(ids) == text
+
+
 def test_unigram_path_is_least():
     m = sentencepiece_fst.Transducer(["<unk>", "▁", "a", "b", "ab", "▁a"], [0, -1.0, -1, -1, -1.5, -3], [2, 1, 1, 1, 1, 1], model=sentencepiece_fst.UNIGRAM)
     assert [m.pieces[i] for i in m.encode("ab")] == ["▁", "ab"]
