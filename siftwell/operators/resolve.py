@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil, log2
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,21 +95,26 @@ def division(members: DataFrame, group: str, member: str, required: DataFrame) -
     return have.crossJoin(F.broadcast(needed.agg(F.count("*").alias("_all")))).filter("_n = _all").select(group)
 
 
-def roots(edges: DataFrame, child: str, parent: str, most: int = 64) -> DataFrame:
-    """child, root, depth of every child, by pointer doubling: a tree of depth d takes about log2 d joins, and none once every
-    pointer is at a root. A parent that is no child is a root. Cycles (deeper than ``most``): the smallest member met, depth -1."""
-    now = edges.select(F.col(child).alias("n"), F.col(parent).alias("up"), F.lit(1).alias("depth"), F.least(child, parent).alias("low"))
-    children = edges.select(F.col(child).alias("up")).distinct()
-    for _ in range(max(1, ceil(log2(most)))):
-        above = now.select(F.col("n").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("low").alias("_low"))
-        now = now.join(above, "up", "left").select("n", F.coalesce("_up", "up").alias("up"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), F.least("low", F.coalesce("_low", "low")).alias("low"))
-        now = cut(now)
-        if now.join(children, "up", "left_semi").isEmpty():
+def roots(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """child, root, depth of every child, by pointer doubling: a tree of any depth d takes about log2 d joins, and none once every
+    pointer is at a root. A parent that is no child is a root. What leads into a cycle: the smallest member met, depth -1."""
+    children = edges.select(F.col(child).alias("up")).distinct().withColumn("open", F.lit(True))
+    now = edges.select(F.col(child).alias("n"), F.col(parent).alias("up"), F.lit(1).cast("long").alias("depth"), F.least(child, parent).alias("low"))
+    now = cut(now.join(children, "up", "left").select("n", "up", "depth", "low", F.coalesce("open", F.lit(False)).alias("open")))
+    hops, open_before = 1, None
+    while True:
+        still_open = now.filter("open").agg(F.count_distinct("n")).first()[0]
+        # Above a node deeper than this round's hops is one that the round closed, so if it closed none, only cycles are left;
+        # they are walked on until all of their members are met.
+        if not still_open or still_open == open_before and hops >= still_open:
             break
-    known = edges.select(F.col(child).alias("up")).distinct().withColumn("_cycle", F.lit(True))
-    met = now.join(known, "up", "left")
-    cyclic = F.coalesce("_cycle", F.lit(False))
-    return met.select(F.col("n").alias(child), F.when(cyclic, F.col("low")).otherwise(F.col("up")).alias("root"), F.when(cyclic, -1).otherwise(F.col("depth")).alias("depth"))
+        open_before = still_open
+        # Rows at a root are looked up but move no more.
+        above = now.select(F.col("n").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("low").alias("_low"), F.col("open").alias("_open"))
+        moved = now.filter("open").drop("open").join(above, "up").select("n", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"), F.least("low", "_low").alias("low"), F.col("_open").alias("open"))
+        now = cut(now.filter("not open").unionByName(moved))
+        hops *= 2
+    return now.select(F.col("n").alias(child), F.when(F.col("open"), F.col("low")).otherwise(F.col("up")).alias("root"), F.when(F.col("open"), -1).otherwise(F.col("depth")).alias("depth"))
 
 
 def forward_fill(lines: DataFrame, order: str, values: dict[str, Column], within: list[str]) -> DataFrame:

@@ -135,7 +135,7 @@ def relational_division(spark, d):
 def root_ancestor(spark, d):
     conv = _t(spark, d, "conversations").filter("turn > 0")
     node = F.col("conv_id") * 1000 + F.col("turn")
-    return R.roots(conv.select(node.alias("child"), (node - 1).alias("parent")), "child", "parent", 1024).withColumn("depth", F.col("depth").cast("long"))
+    return R.roots(conv.select(node.alias("child"), (node - 1).alias("parent")), "child", "parent").withColumn("depth", F.col("depth").cast("long"))
 
 
 def tanimoto_topk(spark, d):

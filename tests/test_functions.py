@@ -58,6 +58,19 @@ def test_roots_of_chains_and_cycles(spark):
     assert got == {2: (1, 1), 3: (1, 2), 4: (1, 3), 8: (8, -1), 9: (8, -1)}
 
 
+def test_roots_of_deep_chains_and_long_cycles(spark):
+    chain = [(k, k - 1) for k in range(1, 2501)]
+    cycle = [(10_000 + k, 10_000 + (k + 1) % 300) for k in range(300)] + [(20_000, 10_050)]
+    got = {r.child: (r.root, r.depth) for r in R.roots(spark.createDataFrame(chain + cycle, ["child", "parent"]), "child", "parent").collect()}
+    assert got == {k: (0, k) for k, _ in chain} | {k: (10_000, -1) for k, _ in cycle}
+
+
+def test_root_ancestor_of_a_long_conversation(spark, tmp_path):
+    spark.range(1200).selectExpr("1L AS conv_id", "id AS turn").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.child: (r.root, r.depth) for r in matching.root_ancestor(spark, str(tmp_path)).collect()}
+    assert got == {1000 + k: (1000, k) for k in range(1, 1200)}
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "c.tsv").write_text('id\tname\n1\t"a" b\n2\t\n')
     assert [tuple(r) for r in readers.tsv(spark, str(tmp_path / "c.tsv"), "id string, name string").orderBy("id").collect()] == [("1", '"a" b'), ("2", "")]
