@@ -7,6 +7,9 @@ composed with them lazily, and the path of least weight in the tropical semiring
 Weights: of a unigram model, minus the piece's score, for all contexts. Of a BPE model, 0 if merging the two pieces' joined text
 gives just these two, else infinite: a sequence is the canonical BPE encoding exactly if each adjacent pair is, so one path has a
 finite weight. As each prefix of it is canonical too, one state for each position is enough.
+
+A batch is encoded at once: Arrow cuts its tapes into parts that no piece spans and numbers the distinct ones, each distinct part is
+composed and searched once, and numpy deals the paths' labels out to the rows. Decoding gathers the labels' bytes the same way.
 """
 
 from __future__ import annotations
@@ -15,14 +18,16 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices, text_buffers
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Kinds of pieces and models in the model file's format.
@@ -33,6 +38,10 @@ CACHE = 150_000
 PAIRS = 300_000
 #: A part: the spaces before a word and the word. No piece spans two parts (checked when the model is compiled).
 PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Bytes of text that are encoded at once.
+CHUNK = 2_000_000
+#: The context machine's state before the first piece, and the label of a byte fallback.
+START, FALLBACK = -2, -1
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -60,16 +69,57 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             i += size
 
 
+@dataclass(frozen=True)
+class Normaliser:
+    """A deterministic transducer on characters. States: START, TEXT and, where white space is squeezed, GAP (spaces are held back)."""
+
+    dummy_prefix: bool = True
+    squeeze: bool = False
+    escape: bool = True
+
+    def run(self, text: str) -> str:
+        """The output tape, arc by arc: the definition that ``tapes`` is held to."""
+        space = SPACE if self.escape else " "
+        out, state = [], "START"
+        for char in text:
+            if char == " " and self.squeeze:
+                state = state if state == "START" else "GAP"
+                continue
+            if state == "START" and self.dummy_prefix:
+                out.append(space)
+            elif state == "GAP":
+                out.append(space)
+            out.append(space if char == " " else char)
+            state = "TEXT"
+        return "".join(out)
+
+    def tapes(self, texts: pa.Array) -> pa.Array:
+        """The tapes of a batch, with U+2581 as a space still where it is escaped (both are one symbol there). Nulls are empty."""
+        texts = pc.fill_null(texts, "")
+        if self.squeeze:
+            texts = pc.utf8_trim(pc.replace_substring_regex(texts, " +", " "), " ")
+        if self.escape and pc.any(pc.match_substring(texts, SPACE)).as_py():
+            texts = pc.replace_substring(texts, SPACE, " ")
+        if self.dummy_prefix:
+            none, space = pa.scalar("", texts.type), pa.scalar(" ", texts.type)
+            texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(none, texts, space))
+        return texts
+
+
 class Kept(dict):
-    """A cache that makes what it lacks, keeps short keys, and is emptied when full."""
+    """A cache that makes what it lacks and keeps short keys, in two generations: when one is full, the one before it goes, and what
+    is asked for again moves on."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> tuple[int, ...]:
-        found = self.make(key)
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
         if len(key) <= 48:
-            if len(self) >= CACHE:
+            if len(self) >= CACHE // 2:
+                self.older = dict(self)
                 self.clear()
             self[key] = found
         return found
@@ -81,47 +131,42 @@ class Transducer:
     scores: list[float]
     kinds: list[int]
     model: int = BPE
-    dummy_prefix: bool = True
-    squeeze: bool = False
-    escape: bool = True
+    normaliser: Normaliser = Normaliser()
     by_text: dict[str, int] = field(default_factory=dict)
     bytes_of: list[int] = field(default_factory=list)
     trie: dict = field(default_factory=dict)
     inner: set[tuple[str, str]] = field(default_factory=set)
-    spine_cache: dict[int, tuple | None] = field(default_factory=dict)
-    pair_cache: dict[int, bool] = field(default_factory=dict)
-    part_cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    word_cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self._caches()
-        self.by_text = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (NORMAL, USER)}
+        if USER in self.kinds:
+            raise ValueError("pieces that are matched before all others are not compiled")
+        rows = list(zip(self.pieces, self.kinds, strict=True))
+        self.by_text = {p: i for i, (p, k) in enumerate(rows) if k == NORMAL}
         self.bytes_of = [-1] * 256
-        for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)):
+        for i, (p, k) in enumerate(rows):
             if k == BYTE:
                 self.bytes_of[int(p[1:-1], 16)] = i
-        self.odd = {i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (UNKNOWN, CONTROL) or k == BYTE and int(p[1:-1], 16) > 127}
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
         for text, i in self.by_text.items():
+            # A node: character to (label or -1, next node).
             node = self.trie
-            for char in text:
-                node = node.setdefault(char, {})
-            node[""] = i
+            for k, char in enumerate(text, 1):
+                label, below = node.get(char, (-1, {}))
+                node[char] = (i if k == len(text) else label, below)
+                node = below
             self.inner.update(zip(text, text[1:]))
-        self.lone = {c for c in "\n" if not any(c in text for text in self.by_text)}
-        self.plain = [chr(int(p[1:-1], 16)) if k == BYTE and int(p[1:-1], 16) < 128 else p.replace(SPACE, " ") if self.escape else p for p, k in zip(self.pieces, self.kinds, strict=True)]
-        self.whole_parts = all(PART.match(p).end() == len(p) for p in self.by_text if p)
+        self.longest = max(map(len, self.by_text), default=1)
+        escape = self.normaliser.escape
+        # A single byte that is in no piece is a part of its own.
+        self.alone = np.array([b < 128 and b != 32 and not any(chr(b) in text for text in self.by_text) for b in range(256)])
+        self.whole_parts = escape and all(PART.match(p).end() == len(p) for p in self.by_text if p)
         self.lowest = min(self.scores, default=0.0) - 10.0
-
-    def normalise(self, text: str) -> str:
-        """The normaliser's output tape."""
-        if self.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        if self.dummy_prefix:
-            text = " " + text
-        return text.replace(" ", SPACE) if self.escape else text
+        # What each label writes: bytes for all but control pieces.
+        plain = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else bytes([int(p[1:-1], 16)]) if k == BYTE else (p.replace(SPACE, " ") if escape else p).encode() for p, k in rows]
+        self.written = np.frombuffer(b"".join(plain), np.uint8)
+        self.sizes = np.array([len(x) for x in plain], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self._caches()
 
     def merges(self, text: str) -> list[tuple]:
         """Merging by score, the leftmost first: trees (text, rank, left, right); a character's rank is -inf."""
@@ -138,39 +183,39 @@ class Transducer:
             symbols[at : at + 2] = [(a[0] + b[0], best, a, b)]
 
     def spines(self, piece: int) -> tuple | None:
-        """Of a piece, (left edge, right edge, in order): each edge has from the character upwards what stands there and the rank
-        of the merge that ends it; in order: each merge ranks after those below it. None if merging gives other pieces."""
         found = self.spine_cache.get(piece, ())
         if found == ():
-            trees = self.merges(self.pieces[piece])
-            found = None
-            if len(trees) == 1:
-                edges = []
-                for side in (2, 3):
-                    node, until, edge = trees[0], math.inf, []
-                    while node is not None:
-                        edge.append((node[0], until))
-                        node, until = node[side], node[1]
-                    edges.append(edge[::-1])
-                stack, in_order = [trees[0]], True
-                while stack:
-                    _, rank, *below = stack.pop()
-                    for child in below:
-                        if child is not None:
-                            in_order &= child[1] < rank
-                            stack.append(child)
-                found = (*edges, in_order)
-            self.spine_cache[piece] = found
+            found = self.spine_cache[piece] = self._spines(self.pieces[piece])
         return found
 
-    def weight(self, before: int, piece: int) -> float:
+    def _spines(self, text: str) -> tuple | None:
+        """Of a piece, (left edge, right edge, in order): each edge has from the character upwards what stands there and the rank
+        of the merge that ends it; in order: each merge ranks after those below it. None if merging gives other pieces."""
+        trees = self.merges(text)
+        if len(trees) != 1:
+            return None
+        edges = []
+        for side in (2, 3):
+            node, until, edge = trees[0], math.inf, []
+            while node is not None:
+                edge.append((node[0], until))
+                node, until = node[side], node[1]
+            edges.append(edge[::-1])
+        stack, in_order = [trees[0]], True
+        while stack:
+            _, rank, *below = stack.pop()
+            for child in below:
+                if child is not None:
+                    in_order &= child[1] < rank
+                    stack.append(child)
+        return (*edges, in_order)
+
+    def weight(self, before: str, one: tuple | None, piece: str, two: tuple | None) -> float:
         """Of an arc of the context machine (BPE): 0 if no merge crosses the border while both pieces build up, else infinite."""
-        one, two = self.spines(before), self.spines(piece)
         if one is None or two is None:
             return math.inf
         if not (one[2] and two[2]):
-            joined = self.merges(self.pieces[before] + self.pieces[piece])
-            return 0.0 if [t[0] for t in joined] == [self.pieces[before], self.pieces[piece]] else math.inf
+            return 0.0 if [t[0] for t in self.merges(before + piece)] == [before, piece] else math.inf
         right, left = one[1], two[0]
         i = j = 0
         while True:
@@ -192,101 +237,104 @@ class Transducer:
         if ok is None:
             if len(self.pair_cache) >= PAIRS:
                 self.pair_cache.clear()
-            ok = self.pair_cache[key] = self.weight(before, piece) == 0.0 if before >= 0 else self.spines(piece) is not None
+            ok = self.pair_cache[key] = self.spines(piece) is not None if before == START else self.weight(self.pieces[before], self.spines(before), self.pieces[piece], self.spines(piece)) == 0.0
         return ok
 
     def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
-        """(label, end) of the piece transducer's arcs from a position, shortest first; byte fallback (label -1) for a character
+        """(label, end) of the union of pieces and byte fallback from a position, shortest first; a fallback only for a character
         that is no piece."""
-        node, out = self.trie, []
-        for end in range(at, len(text)):
-            node = node.get(text[end])
-            if node is None:
+        node, out, end = self.trie, [], at
+        for char in text[at : at + self.longest]:
+            step = node.get(char)
+            if step is None:
                 break
-            label = node.get("")
-            if label is not None:
-                out.append((label, end + 1))
+            label, node = step
+            end += 1
+            if label >= 0:
+                out.append((label, end))
         if not out or out[0][1] > at + 1:
-            out.insert(0, (-1, at + 1))
+            out.insert(0, (FALLBACK, at + 1))
         return out
 
     def shortest(self, text: str) -> list[int]:
-        """Output labels of the least-weight path through the composition with one part.
+        """Output labels of the least-weight path through the composition with one tape.
 
-        Unigram: relaxation in order of position. BPE: as all weights are 0 or infinite, the first complete path of finite
-        weight; it is found depth-first with the longest arc first, and a position that led nowhere isn't tried again.
+        cost, label and begin hold of each position the least weight of a path to it and that path's last arc. The context machine's
+        state at a position is that last label, so one state for each position is kept (BPE: only one has a finite weight). Positions
+        are relaxed in order, or, where every weight is 0 or infinite, from a stack: the end is then final when it is first reached.
         """
         n = len(text)
-        whole = self.by_text.get(text)
-        if whole is not None and (n == 1 or self.model == BPE and self.spines(whole) is not None):
-            return [whole]
         if self.model == BPE:
-            path = self._first_path(text)
+            label_of, begin = self._reach(text)
         else:
-            cost, back = [0.0] + [math.inf] * n, [(-1, 0)] * (n + 1)
+            cost, label_of, begin = [0.0] + [math.inf] * n, [START] * (n + 1), [0] * (n + 1)
             for at in range(n):
                 for label, end in self.arcs(text, at):
-                    found = cost[at] - (self.scores[label] if label >= 0 else self.lowest)
-                    if found < cost[end]:
-                        cost[end], back[end] = found, (label, at)
-            path, end = [], n
-            while end:
-                label, at = back[end]
-                path.append((label, at, end))
-                end = at
-            path.reverse()
+                    weight = cost[at] - (self.scores[label] if label >= 0 else self.lowest)
+                    if weight < cost[end]:
+                        cost[end], label_of[end], begin[end] = weight, label, at
         out: list[int] = []
-        for label, at, end in path:
-            out += (label,) if label >= 0 else self._fallback(text[at:end])
-        return out
-
-    def _first_path(self, text: str) -> list[tuple[int, int, int]]:
-        n = len(text)
-        pairs, trie, allowed = self.pair_cache, self.trie, self._allowed
-        labels, begins, waiting, dead = [-2], [0], [], set()
-        at, before = 0, -2
-        options = None
-        while True:
-            if options is None:
-                # The arcs from here, shortest first.
-                node, options, end = trie, [], at
-                while end < n:
-                    node = node.get(text[end])
-                    if node is None:
-                        break
-                    end += 1
-                    label = node.get("")
-                    if label is not None:
-                        options.append((label, end))
-                if not options or options[0][1] > at + 1:
-                    options.insert(0, (-1, at + 1))
-            while options:
-                label, end = options.pop()
-                if end in dead:
-                    continue
-                if label < 0 or before == -1:
-                    break
-                ok = pairs.get(before * 0x100000 + label) if before >= 0 else end == at + 1 or None
-                if ok or ok is None and allowed(before, label):
+        end = n
+        while end:
+            label, at = label_of[end], begin[end]
+            out += (label,) if label >= 0 else self._fallback(text[at:end])[::-1]
+            end = at
+        return out[::-1]
+
+    def _reach(self, text: str) -> tuple[dict[int, int], dict[int, int]]:
+        n, pairs, trie, longest = len(text), self.pair_cache, self.trie, self.longest
+        label_of, begin, queue = {0: START}, {0: 0}, [0]
+        while queue:
+            at = queue.pop()
+            before = label_of[at]
+            # As arcs(); written out, since most of the time goes here.
+            node, end, lone = trie, at, True
+            for char in text[at : at + longest]:
+                step = node.get(char)
+                if step is None:
                     break
-            else:
-                dead.add(at)
-                labels.pop()
-                at, options, before = begins.pop(), waiting.pop(), labels[-1]
-                continue
-            labels.append(label)
-            begins.append(at)
-            if end == n:
-                return list(zip(labels[1:], begins[1:], [*begins[2:], n], strict=True))
-            waiting.append(options)
-            at, before, options = end, label, None
+                label, node = step
+                end += 1
+                if label < 0:
+                    continue
+                if end == at + 1:
+                    lone = False
+                if end in label_of:
+                    continue
+                if before != FALLBACK:
+                    ok = pairs.get(before * 0x100000 + label)
+                    if ok is None:
+                        ok = self._allowed(before, label)
+                else:
+                    ok = self._weight_at_fallback(text, begin[at], at, end, before, label) == 0.0
+                if ok:
+                    label_of[end], begin[end] = label, at
+                    queue.append(end)
+            if lone and at + 1 not in label_of and self._weight_at_fallback(text, begin[at], at, at + 1, before, FALLBACK) == 0.0:
+                label_of[at + 1], begin[at + 1] = FALLBACK, at
+                queue.append(at + 1)
+            if n in label_of:
+                return label_of, begin
+        raise ValueError("a tape without a path")
+
+    def _weight_at_fallback(self, text: str, begin: int, at: int, end: int, before: int, label: int) -> float:
+        """The context weight where at least one side is a lone character, which is no piece."""
+        if before == START or (text[at - 1], text[at]) not in self.inner:
+            return 0.0 if label == FALLBACK or self.spines(label) is not None else math.inf
+        lone = lambda which, part: self._spines(part) if which == FALLBACK else self.spines(which)
+        return self.weight(text[begin:at], lone(before, text[begin:at]), text[at:end], lone(label, text[at:end]))
 
     def _fallback(self, char: str) -> tuple[int, ...]:
         ids = tuple(self.bytes_of[b] for b in char.encode("utf-8", "replace"))
         return ids if -1 not in ids else (self.unknown,)
 
     def part(self, text: str) -> tuple[int, ...]:
-        """The encoding of one part. No arc spans two characters that no piece has side by side, so it is cut there first."""
+        """The path of one part. No arc spans two characters that no piece has side by side, so it is cut there first."""
+        whole = self.by_text.get(text)
+        if whole is not None and self.model == BPE and self.spines(whole) is not None:
+            return (whole,)
+        if len(text) < 40:
+            return tuple(self.shortest(text))
         inner = self.inner
         cuts = [k for k, pair in enumerate(zip(text, text[1:]), 1) if pair not in inner]
         if not cuts:
@@ -297,61 +345,87 @@ class Transducer:
             out += self.part_cache[text[begin:end]] if end - begin < 40 else self.shortest(text[begin:end])
         return tuple(out)
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        tape = self.normalise(text)
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """borders (n + 1) and labels of the paths of all texts of an Arrow array; nulls and empty texts have none."""
+        tapes = self.normaliser.tapes(texts)
+        data, begin, end = text_buffers(tapes)
+        if not len(tapes) or begin[0] == end[-1]:
+            return np.zeros(len(tapes) + 1, np.int64), np.zeros(0, np.int32)
         if not self.whole_parts:
-            return self.shortest(tape)
+            paths = [self.shortest(t.replace(" ", SPACE) if self.normaliser.escape else t) for t in tapes.to_pylist()]
+            return np.r_[0, np.cumsum([len(x) for x in paths])], np.array([i for x in paths for i in x], np.int32)
+        lo, hi = int(begin[0]), int(end[-1])
+        text = data[lo:hi]
+        space, alone = text == 32, self.alone[text]
+        cut = np.empty(len(text), bool)
+        # A part begins at a run of spaces, at and after a byte of its own, and at each row.
+        cut[0] = True
+        cut[1:] = space[1:] & ~space[:-1] | alone[1:] | alone[:-1]
+        full = begin < end
+        cut[begin[full] - lo] = True
+        starts = np.flatnonzero(cut)
+        places = pa.py_buffer(np.append(starts, len(text)).astype(np.int64))
+        parts = pa.LargeStringArray.from_buffers(len(starts), places, pa.py_buffer(np.ascontiguousarray(text))).dictionary_encode()
         get = self.part_cache.__getitem__
-        if self.lone and self.escape:
-            out: list[int] = []
-            for k, line in enumerate(tape.split("\n")):
-                if k:
-                    out += get("\n")
-                if line:
-                    if SPACE + SPACE in line or line[-1] == SPACE:
-                        out += chain.from_iterable(map(get, PART.findall(line)))
-                    else:
-                        first, *words = line.split(SPACE)
-                        if first:
-                            out += get(first)
-                        out += chain.from_iterable(map(self.word_cache.__getitem__, words))
-            return out
-        return list(chain.from_iterable(map(get, PART.findall(tape))))
-
-    def decode(self, ids: list[int]) -> str:
-        """The output projected back: pieces to text, runs of byte pieces to UTF-8, U+2581 to spaces, without the dummy prefix."""
-        if not self.odd.intersection(ids):
-            text = "".join(map(self.plain.__getitem__, ids))
-            return text[1:] if self.dummy_prefix and text.startswith(" ") else text
-        out: list[str] = []
+        paths = [get(w.replace(" ", SPACE)) for w in parts.dictionary.to_pylist()]
+        which = parts.indices.to_numpy()
+        size = np.array([len(x) for x in paths], np.int64)
+        first, many = np.cumsum(size) - size, size[which]
+        flat = np.array([i for x in paths for i in x], np.int32)
+        upto = np.cumsum(many)
+        ids = flat[np.repeat(first[which] - (upto - many), many) + np.arange(upto[-1])]
+        rows = np.searchsorted(starts, np.append(begin, end[-1]) - lo)
+        return np.r_[0, upto][rows], ids
+
+    def decode_batch(self, borders: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The outputs of all rows: pieces to text, byte pieces to bytes, without the dummy prefix. A row whose byte pieces are no
+        UTF-8 is decoded alone."""
+        n = len(borders) - 1
+        size, begin = self.sizes[ids], self.begins[ids]
+        heads = borders[:-1][borders[:-1] < borders[1:]]
+        if self.normaliser.dummy_prefix and len(heads):
+            prefixed = heads[(size[heads] > 0) & (self.written[np.minimum(begin[heads], len(self.written) - 1)] == 32)]
+            size[prefixed] -= 1
+            begin[prefixed] += 1
+        upto = np.cumsum(size)
+        total = int(upto[-1]) if len(upto) else 0
+        text = self.written[np.repeat(begin - (upto - size), size) + np.arange(total)] if total else np.zeros(0, np.uint8)
+        at = np.r_[0, upto][borders].astype(np.int64)
+        out = pa.LargeStringArray.from_buffers(n, pa.py_buffer(at), pa.py_buffer(text))
+        try:
+            out.validate(full=True)
+        except pa.ArrowInvalid:
+            return pa.array([self._decode_one(ids[a:b].tolist()) for a, b in zip(borders[:-1], borders[1:], strict=True)], pa.string())
+        return out.cast(pa.string())
+
+    def _decode_one(self, ids: list[int]) -> str:
+        """With U+FFFD for what isn't UTF-8 in a run of byte pieces."""
+        out: list[bytes] = []
         run = bytearray()
-        for i in ids:
-            if self.kinds[i] == BYTE:
+        for i in [*ids, -1]:
+            if i >= 0 and self.kinds[i] == BYTE:
                 run.append(int(self.pieces[i][1:-1], 16))
                 continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            if self.kinds[i] == UNKNOWN:
-                out.append(" ⁇ ")
-            elif self.kinds[i] != CONTROL:
-                out.append(self.pieces[i])
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
-        text = text.replace(SPACE, " ") if self.escape else text
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+            out.append(run.decode("utf-8", "replace").encode())
+            run.clear()
+            if i >= 0:
+                out.append(self.written[self.begins[i] : self.begins[i] + self.sizes[i]].tobytes())
+        text = b"".join(out).decode()
+        return text[1:] if self.normaliser.dummy_prefix and text.startswith(" ") else text
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_batch(pa.array([text], pa.string()))[1].tolist()
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_batch(np.array([0, len(ids)]), np.array(ids, np.int64))[0].as_py()
 
     def _caches(self) -> None:
-        self.spine_cache, self.pair_cache = {}, {}
+        self.spine_cache: dict[int, tuple | None] = {}
+        self.pair_cache: dict[int, bool] = {}
         self.part_cache = Kept(self.part)
-        # Of words by what follows the space before them.
-        self.word_cache = Kept(lambda word: self.part(SPACE + word))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("spine_cache", "pair_cache", "part_cache", "word_cache")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("spine_cache", "pair_cache", "part_cache")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -360,7 +434,7 @@ class Transducer:
 
 def compile_model(path: str = MODEL) -> Transducer:
     """Reads a SentencePiece model file (its path is on the driver; tasks get the compiled machine)."""
-    pieces, scores, kinds, options = [], [], [], {"model": UNIGRAM}
+    pieces, scores, kinds, model, rules = [], [], [], UNIGRAM, {}
     for number, value in _fields(open(path, "rb").read()):
         if number == 1:
             own = dict(_fields(value))
@@ -368,43 +442,42 @@ def compile_model(path: str = MODEL) -> Transducer:
             scores.append(float(np.frombuffer(own[2], "<f4")[0]) if 2 in own else 0.0)
             kinds.append(own.get(3, NORMAL))
         elif number == 2:
-            options["model"] = dict(_fields(value)).get(3, UNIGRAM)
+            model = dict(_fields(value)).get(3, UNIGRAM)
         elif number == 3:
             own = dict(_fields(value))
             if own.get(1, b"identity") != b"identity" and own.get(2):
                 raise ValueError("only the identity character map is compiled")
-            options |= {"dummy_prefix": bool(own.get(3, 1)), "squeeze": bool(own.get(4, 1)), "escape": bool(own.get(5, 1))}
-    return Transducer(pieces, scores, kinds, **options)
+            rules = {"dummy_prefix": bool(own.get(3, 1)), "squeeze": bool(own.get(4, 1)), "escape": bool(own.get(5, 1))}
+    return Transducer(pieces, scores, kinds, model, Normaliser(**rules))
 
 
 def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", others: list[str] | None = None) -> DataFrame:
     """The columns ``others`` (all but the text, unless named) with _ids and _back (the decoded text).
 
     Null and empty texts have no ids; a null text's _back is null. Ids are those of the model's own library. Every text
-    decodes to itself unless it holds U+2581, which decodes to a space, as the format has no other reading of it.
+    decodes to itself unless it holds U+2581, which decodes to a space, as the format has no other reading of it. Texts of any length
+    and script are encoded whole; repeated rows give repeated results, an empty table none. Extra columns are carried through.
     """
     machine = compile_model(model)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     others = [c for c in docs.columns if c != text_col] if others is None else others
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(others)], F.col(text_col).alias("_t"))
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(others)], F.col(f"`{text_col}`").alias("_t"))
     schema = plain.drop("_t").schema.add("_ids", T.ArrayType(T.IntegerType())).add("_back", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        names = [f"_c{i}" for i in range(len(others))] + ["_ids", "_back"]
         for batch in batches:
-            kept = [batch.column(f"_c{i}") for i in range(len(others))]
-            names = [f"_c{i}" for i in range(len(others))] + ["_ids", "_back"]
             texts = batch.column("_t")
-            size = max(1, min(batch.num_rows, 200))
-            for a in range(0, batch.num_rows, size):
-                part = texts.slice(a, size).to_pylist()
-                ids = [np.array(m.encode(t), np.int32) for t in part]
-                back = [None if t is None else m.decode(i.tolist()) for t, i in zip(part, ids, strict=True)]
-                border = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(i) for i in ids], out=border[1:])
-                values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(border), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*(k.slice(a, size) for k in kept), lists, pa.array(back, pa.string())], names=names)
+            _, begin, end = text_buffers(texts)
+            for a, b in slices(begin, end, CHUNK):
+                part = texts.slice(a, b - a)
+                borders, ids = m.encode_batch(part)
+                back = m.decode_batch(borders, ids)
+                if part.null_count:
+                    back = pc.if_else(pc.is_null(part), None, back)
+                lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*(batch.column(n).slice(a, b - a) for n in names[:-2]), lists, back], names=names)
 
     done = plain.mapInArrow(run, schema)
     return done.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(others)], "_ids", "_back")

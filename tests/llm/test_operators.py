@@ -6,6 +6,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,22 +111,71 @@ def test_sentencepiece_is_the_librarys(odd, none):
     assert sentencepiece_fst.encode(none).count() == 0
 
 
-@pytest.mark.parametrize("run", ["7", "0123456789", "日", "日本語中文字", "。", "🤗"])
+@pytest.mark.parametrize("run", ["7", "0123456789", "日", "日本語中文字", "。", "🤗", "\x01\x02\x7f", "ab", "aaab", " ", "\n ", "é̈"])
 def test_sentencepiece_of_long_runs(run):
     import sentencepiece
 
     theirs = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_fst.MODEL)
     mine = sentencepiece_fst.compile_model()
-    for text in ((run * 5000)[:5000], "a " + (run * 5000)[:5000] + " b"):
+    for text in ((run * 20_000)[:20_000], "a " + (run * 5000)[:5000] + " b"):
         ids = mine.encode(text)
         assert ids == theirs.encode(text)
         assert mine.decode(ids) == text
 
 
+def test_sentencepiece_of_batches(spark):
+    """Nulls, empty texts and slices of a batch, and the ids that Spark returns, are those of each text alone."""
+    texts = [None, "", " ", "  a  b ", "a\n\n b", "x▁ y", "日本 é🤗", "\x00", "word " * 50_000, "a", "a"]
+    mine = sentencepiece_fst.compile_model()
+    whole = pa.array(texts, pa.string())
+    for column in (whole, whole.slice(2, 6), pa.chunked_array([whole]).combine_chunks().cast(pa.large_string())):
+        borders, ids = mine.encode_batch(column)
+        back = mine.decode_batch(borders, ids).to_pylist()
+        for k, text in enumerate(column.to_pylist()):
+            assert ids[borders[k] : borders[k + 1]].tolist() == mine.encode(text)
+            assert back[k] == (text or "").replace("▁", " ")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("_ids", F.lit("own"))
+    for r in sentencepiece_fst.encode(rows, others=["doc_id"]).collect():
+        text = texts[r.doc_id]
+        assert r._ids == mine.encode(text)
+        assert r._back == (None if text is None else text.replace("▁", " "))
+
+
+def test_sentencepiece_decodes_broken_bytes_as_the_library():
+    import sentencepiece
+
+    theirs = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_fst.MODEL)
+    mine = sentencepiece_fst.compile_model()
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        ids = [int(i) for i in rng.choice([*range(1, 259), 300, 5000, 29871], rng.integers(1, 12))]
+        assert mine.decode(ids) == theirs.decode(ids)
+
+
+@pytest.mark.parametrize("rules", [(True, False, True), (True, True, True), (False, True, True), (False, False, True), (True, True, False)])
+def test_normaliser_kernels_write_the_machines_tape(rules):
+    n = sentencepiece_fst.Normaliser(*rules)
+    rng = np.random.default_rng(9)
+    texts = ["".join(rng.choice(list("ab  \n▁é"), rng.integers(0, 9))) for _ in range(500)]
+    tapes = n.tapes(pa.array(texts)).to_pylist()
+    assert [t.replace(" ", "▁") if n.escape else t for t in tapes] == [n.run(t) for t in texts]
+
+
 def test_unigram_path_is_least():
-    m = sentencepiece_fst.Transducer(["<unk>", "▁", "a", "b", "ab", "▁a"], [0, -1.0, -1, -1, -1.5, -3], [2, 1, 1, 1, 1, 1], model=sentencepiece_fst.UNIGRAM)
+    pieces, scores = ["<unk>", "▁", "a", "b", "ab", "▁a", "ba", "aba"], [0, -1.0, -1, -1, -1.5, -3, -1.7, -2.0]
+    m = sentencepiece_fst.Transducer(pieces, scores, [2, 1, 1, 1, 1, 1, 1, 1], model=sentencepiece_fst.UNIGRAM)
     assert [m.pieces[i] for i in m.encode("ab")] == ["▁", "ab"]
 
+    def least(text):
+        return 0.0 if not text else min((least(text[len(p) :]) - s for p, s in zip(pieces[1:], scores[1:], strict=True) if text.startswith(p)), default=float("inf"))
+
+    rng = np.random.default_rng(10)
+    for _ in range(200):
+        text = "".join(rng.choice(list("ab"), rng.integers(1, 9)))
+        ids = m.encode(text)
+        assert "".join(m.pieces[i] for i in ids) == "▁" + text
+        assert -sum(scores[i] for i in ids) == pytest.approx(least("▁" + text))
+
 
 def test_near_classes_match_brute_force(spark, odd, none):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
