@@ -8,12 +8,14 @@ Weights: of a unigram model, minus the piece's score, for all contexts. Of a BPE
 gives just these two, else infinite: a sequence is the canonical BPE encoding exactly if each adjacent pair is, so one path has a
 finite weight. As each prefix of it is canonical too, one state for each position is enough.
 
-A batch is encoded at once: Arrow cuts its tapes into parts that no piece spans and numbers the distinct ones, each distinct part is
-composed and searched once, and numpy deals the paths' labels out to the rows. Decoding gathers the labels' bytes the same way.
+A batch is encoded at once: Arrow cuts its tapes into parts that no piece spans and numbers the distinct ones, these are composed and
+searched together (``lattice``), each once, and numpy deals the paths' labels out to the rows. Decoding gathers the labels' bytes the
+same way. Parts of more than ``SHORT`` bytes are searched one by one.
 """
 
 from __future__ import annotations
 
+import codecs
 import math
 import re
 from collections.abc import Iterator
@@ -27,19 +29,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, text_buffers
+from .lattice import ByteTrie, Table, relax
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Kinds of pieces and models in the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Entries of a task's caches of parts and of pairs; a full cache is emptied.
-CACHE = 150_000
-PAIRS = 300_000
+#: Entries of a task's cache of pairs of pieces; a full cache is emptied.
+PAIRS = 1_000_000
+#: Bytes of a part that is searched together with others.
+SHORT = 255
 #: A part: the spaces before a word and the word. No piece spans two parts (checked when the model is compiled).
 PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Bytes of text that are encoded at once.
 CHUNK = 2_000_000
+#: Bytes of the character that a byte begins.
+CHAR_BYTES = np.array([1 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256)])
+codecs.register_error("each_byte", lambda e: ("\ufffd", e.start + 1))
 #: The context machine's state before the first piece, and the label of a byte fallback.
 START, FALLBACK = -2, -1
 
@@ -106,25 +113,6 @@ class Normaliser:
         return texts
 
 
-class Kept(dict):
-    """A cache that makes what it lacks and keeps short keys, in two generations: when one is full, the one before it goes, and what
-    is asked for again moves on."""
-
-    def __init__(self, make):
-        self.make, self.older = make, {}
-
-    def __missing__(self, key: str) -> tuple[int, ...]:
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= 48:
-            if len(self) >= CACHE // 2:
-                self.older = dict(self)
-                self.clear()
-            self[key] = found
-        return found
-
-
 @dataclass
 class Transducer:
     pieces: list[str]
@@ -133,41 +121,60 @@ class Transducer:
     model: int = BPE
     normaliser: Normaliser = Normaliser()
     by_text: dict[str, int] = field(default_factory=dict)
-    bytes_of: list[int] = field(default_factory=list)
-    trie: dict = field(default_factory=dict)
-    inner: set[tuple[str, str]] = field(default_factory=set)
 
     def __post_init__(self) -> None:
         if USER in self.kinds:
             raise ValueError("pieces that are matched before all others are not compiled")
         rows = list(zip(self.pieces, self.kinds, strict=True))
-        self.by_text = {p: i for i, (p, k) in enumerate(rows) if k == NORMAL}
-        self.bytes_of = [-1] * 256
+        self.by_text = {p: i for i, (p, k) in enumerate(rows) if k == NORMAL and p}
+        self.bytes_of = np.full(256, -1, np.int32)
         for i, (p, k) in enumerate(rows):
             if k == BYTE:
                 self.bytes_of[int(p[1:-1], 16)] = i
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
-        for text, i in self.by_text.items():
-            # A node: character to (label or -1, next node).
-            node = self.trie
-            for k, char in enumerate(text, 1):
-                label, below = node.get(char, (-1, {}))
-                node[char] = (i if k == len(text) else label, below)
-                node = below
-            self.inner.update(zip(text, text[1:]))
+        self.inner = {pair for text in self.by_text for pair in zip(text, text[1:])}
         self.longest = max(map(len, self.by_text), default=1)
         escape = self.normaliser.escape
+        tape = lambda text: (text.replace(SPACE, " ") if escape else text).encode()
         # A single byte that is in no piece is a part of its own.
         self.alone = np.array([b < 128 and b != 32 and not any(chr(b) in text for text in self.by_text) for b in range(256)])
-        self.whole_parts = escape and all(PART.match(p).end() == len(p) for p in self.by_text if p)
-        self.lowest = min(self.scores, default=0.0) - 10.0
-        # What each label writes: bytes for all but control pieces.
-        plain = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else bytes([int(p[1:-1], 16)]) if k == BYTE else (p.replace(SPACE, " ") if escape else p).encode() for p, k in rows]
+        self.whole_parts = escape and all(PART.match(p).end() == len(p) for p in self.by_text)
+        # The weights of a unigram model; the last, for a fallback, is above all others.
+        self.weights = -np.array([*self.scores, min(self.scores, default=0.0) - 10.0], np.float32)
+        # What each label writes.
+        plain = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else bytes([int(p[1:-1], 16)]) if k == BYTE else tape(p) for p, k in rows]
         self.written = np.frombuffer(b"".join(plain), np.uint8)
         self.sizes = np.array([len(x) for x in plain], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
+        self.trie = ByteTrie([tape(p) for p in self.by_text], list(self.by_text.values()))
+        if self.model == BPE:
+            self._compile_contexts()
         self._caches()
 
+    def _compile_contexts(self) -> None:
+        """The context machine as arrays: of each piece its edges, one after the other, and all merges of two pieces."""
+        edges: list[list[tuple[int, float]]] = [[], []]
+        first = np.zeros((2, len(self.pieces)), np.int64)
+        # A fallback fits every context only if no character of a piece lacks a piece of its own.
+        self.closed = all(c in self.by_text for text in self.by_text for c in text)
+        self.sound = np.zeros(len(self.pieces) + 1, bool)
+        self.in_order = np.zeros(len(self.pieces), bool)
+        self.sound[FALLBACK] = True
+        for text, i in self.by_text.items():
+            found = self._spines(text)
+            self.sound[i] = found is not None
+            if found is not None and self.closed:
+                self.in_order[i] = found[2]
+                for side in (0, 1):
+                    first[side, i] = len(edges[side])
+                    edges[side] += [(self.by_text[t], until) for t, until in found[side]]
+        self.edge_at = first
+        self.edge_ids = [np.array([e[0] for e in side], np.int64) for side in edges]
+        self.edge_until = [np.array([e[1] for e in side]) for side in edges]
+        joined = {(self.by_text[t[:k]] << 20 | self.by_text[t[k:]]): i for t, i in self.by_text.items() for k in range(1, len(t)) if t[:k] in self.by_text and t[k:] in self.by_text}
+        self.joins = Table(np.fromiter(joined.keys(), np.int64, len(joined)), np.fromiter(joined.values(), np.int64, len(joined)))
+        self.ranks = -np.array(self.scores)
+
     def merges(self, text: str) -> list[tuple]:
         """Merging by score, the leftmost first: trees (text, rank, left, right); a character's rank is -inf."""
         symbols: list[tuple] = [(c, -math.inf, None, None) for c in text]
@@ -182,12 +189,6 @@ class Transducer:
             a, b = symbols[at : at + 2]
             symbols[at : at + 2] = [(a[0] + b[0], best, a, b)]
 
-    def spines(self, piece: int) -> tuple | None:
-        found = self.spine_cache.get(piece, ())
-        if found == ():
-            found = self.spine_cache[piece] = self._spines(self.pieces[piece])
-        return found
-
     def _spines(self, text: str) -> tuple | None:
         """Of a piece, (left edge, right edge, in order): each edge has from the character upwards what stands there and the rank
         of the merge that ends it; in order: each merge ranks after those below it. None if merging gives other pieces."""
@@ -231,48 +232,93 @@ class Transducer:
             else:
                 j += 1
 
-    def _allowed(self, before: int, piece: int) -> bool:
-        key = before * 0x100000 + piece
-        ok = self.pair_cache.get(key)
-        if ok is None:
-            if len(self.pair_cache) >= PAIRS:
-                self.pair_cache.clear()
-            ok = self.pair_cache[key] = self.spines(piece) is not None if before == START else self.weight(self.pieces[before], self.spines(before), self.pieces[piece], self.spines(piece)) == 0.0
-        return ok
+    def _weigh_pairs(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """``weight`` of many arcs between sound pieces, as 0 or 1 for infinite."""
+        out = np.zeros(len(piece), np.int32)
+        plain = self.in_order[before] & self.in_order[piece]
+        for k in np.flatnonzero(~plain).tolist():
+            one, two = self.pieces[before[k]], self.pieces[piece[k]]
+            out[k] = self.weight(one, self._spines(one), two, self._spines(two)) > 0
+        on = np.flatnonzero(plain)
+        i, j = self.edge_at[1, before[on]], self.edge_at[0, piece[on]]
+        while len(on):
+            x, x_ends, y, y_ends = self.edge_ids[1][i], self.edge_until[1][i], self.edge_ids[0][j], self.edge_until[0][j]
+            crossing = self.joins.get(x << 20 | y)
+            rank = self.ranks[crossing]
+            barred = (crossing >= 0) & (rank < x_ends) & (rank <= y_ends)
+            out[on[barred]] = 1
+            go = ~barred & ((x_ends < math.inf) | (y_ends < math.inf))
+            right = x_ends <= y_ends
+            on, i, j = on[go], (i + right)[go], (j + ~right)[go]
+        return out
+
+    def _weigh(self, before: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Weights of arcs by the labels before them; a fallback is the label -1."""
+        if self.model != BPE:
+            return self.weights[label]
+        out = np.where(self.sound[label], np.float32(0), np.float32(math.inf))
+        both = np.flatnonzero((before >= 0) & (label >= 0) & self.sound[label])
+        key = before[both].astype(np.int64) << 20 | label[both]
+        known = self.pair_cache.get(key)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            fresh, at = np.unique(key[new], return_inverse=True)
+            made = self._weigh_pairs(fresh >> 20, fresh & 0xFFFFF)
+            known[new] = made[at]
+            if self.pair_cache.used > PAIRS:
+                self._caches()
+            absent = self.pair_cache.get(fresh) < 0
+            self.pair_cache.put(fresh[absent], made[absent])
+        out[both[known == 1]] = math.inf
+        return out
 
     def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
         """(label, end) of the union of pieces and byte fallback from a position, shortest first; a fallback only for a character
         that is no piece."""
-        node, out, end = self.trie, [], at
-        for char in text[at : at + self.longest]:
-            step = node.get(char)
-            if step is None:
-                break
-            label, node = step
-            end += 1
-            if label >= 0:
+        get, out = self.by_text.get, []
+        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
+            label = get(text[at:end])
+            if label is not None:
                 out.append((label, end))
         if not out or out[0][1] > at + 1:
             out.insert(0, (FALLBACK, at + 1))
         return out
 
     def shortest(self, text: str) -> list[int]:
-        """Output labels of the least-weight path through the composition with one tape.
+        """Output labels of the least-weight path through the composition with one tape of any length.
 
-        cost, label and begin hold of each position the least weight of a path to it and that path's last arc. The context machine's
-        state at a position is that last label, so one state for each position is kept (BPE: only one has a finite weight). Positions
-        are relaxed in order, or, where every weight is 0 or infinite, from a stack: the end is then final when it is first reached.
+        cost, label and begin hold of each position the least weight of a path to it and that path's last arc; positions are relaxed
+        in order. The context machine's state at a position is that last label, so one state for each is enough (BPE: only one has a
+        finite weight).
         """
-        n = len(text)
-        if self.model == BPE:
-            label_of, begin = self._reach(text)
-        else:
-            cost, label_of, begin = [0.0] + [math.inf] * n, [START] * (n + 1), [0] * (n + 1)
-            for at in range(n):
-                for label, end in self.arcs(text, at):
-                    weight = cost[at] - (self.scores[label] if label >= 0 else self.lowest)
-                    if weight < cost[end]:
-                        cost[end], label_of[end], begin[end] = weight, label, at
+        n, spines = len(text), {}
+        cost, label_of, begin = [0.0] + [math.inf] * n, [START] * (n + 1), [0] * (n + 1)
+
+        def edges(part: str) -> tuple | None:
+            if part not in spines:
+                spines[part] = self._spines(part)
+            return spines[part]
+
+        def weigh(at: int, label: int, end: int) -> float:
+            if self.model != BPE:
+                return float(self.weights[label])
+            part = text[at:end]
+            if not at:
+                return 0.0 if edges(part) else math.inf
+            if (text[at - 1], text[at]) not in self.inner:
+                return 0.0 if edges(part) else math.inf
+            before = text[begin[at] : at]
+            key = (before, part)
+            if key not in spines:
+                spines[key] = self.weight(before, edges(before), part, edges(part))
+            return spines[key]
+
+        for at in range(n):
+            for label, end in self.arcs(text, at):
+                if cost[at] < cost[end]:
+                    found = cost[at] + weigh(at, label, end)
+                    if found < cost[end]:
+                        cost[end], label_of[end], begin[end] = found, label, at
         out: list[int] = []
         end = n
         while end:
@@ -281,69 +327,64 @@ class Transducer:
             end = at
         return out[::-1]
 
-    def _reach(self, text: str) -> tuple[dict[int, int], dict[int, int]]:
-        n, pairs, trie, longest = len(text), self.pair_cache, self.trie, self.longest
-        label_of, begin, queue = {0: START}, {0: 0}, [0]
-        while queue:
-            at = queue.pop()
-            before = label_of[at]
-            # As arcs(); written out, since most of the time goes here.
-            node, end, lone = trie, at, True
-            for char in text[at : at + longest]:
-                step = node.get(char)
-                if step is None:
-                    break
-                label, node = step
-                end += 1
-                if label < 0:
-                    continue
-                if end == at + 1:
-                    lone = False
-                if end in label_of:
-                    continue
-                if before != FALLBACK:
-                    ok = pairs.get(before * 0x100000 + label)
-                    if ok is None:
-                        ok = self._allowed(before, label)
-                else:
-                    ok = self._weight_at_fallback(text, begin[at], at, end, before, label) == 0.0
-                if ok:
-                    label_of[end], begin[end] = label, at
-                    queue.append(end)
-            if lone and at + 1 not in label_of and self._weight_at_fallback(text, begin[at], at, at + 1, before, FALLBACK) == 0.0:
-                label_of[at + 1], begin[at + 1] = FALLBACK, at
-                queue.append(at + 1)
-            if n in label_of:
-                return label_of, begin
-        raise ValueError("a tape without a path")
-
-    def _weight_at_fallback(self, text: str, begin: int, at: int, end: int, before: int, label: int) -> float:
-        """The context weight where at least one side is a lone character, which is no piece."""
-        if before == START or (text[at - 1], text[at]) not in self.inner:
-            return 0.0 if label == FALLBACK or self.spines(label) is not None else math.inf
-        lone = lambda which, part: self._spines(part) if which == FALLBACK else self.spines(which)
-        return self.weight(text[begin:at], lone(before, text[begin:at]), text[at:end], lone(label, text[at:end]))
-
     def _fallback(self, char: str) -> tuple[int, ...]:
-        ids = tuple(self.bytes_of[b] for b in char.encode("utf-8", "replace"))
-        return ids if -1 not in ids else (self.unknown,)
+        return tuple(self.bytes_of[list(char.encode())].tolist()) if (self.bytes_of >= 0).all() else (self.unknown,)
 
-    def part(self, text: str) -> tuple[int, ...]:
+    def part(self, text: str) -> list[int]:
         """The path of one part. No arc spans two characters that no piece has side by side, so it is cut there first."""
-        whole = self.by_text.get(text)
-        if whole is not None and self.model == BPE and self.spines(whole) is not None:
-            return (whole,)
-        if len(text) < 40:
-            return tuple(self.shortest(text))
-        inner = self.inner
-        cuts = [k for k, pair in enumerate(zip(text, text[1:]), 1) if pair not in inner]
-        if not cuts:
-            return tuple(self.shortest(text))
-        out: list[int] = []
-        for begin, end in zip([0, *cuts], [*cuts, len(text)], strict=True):
-            # What is between two cuts has none, so the cache doesn't come back here more than once.
-            out += self.part_cache[text[begin:end]] if end - begin < 40 else self.shortest(text[begin:end])
-        return tuple(out)
+        inner, out, begin = self.inner, [], 0
+        known: dict[str, list[int]] = {}
+        for end in [*(k for k, pair in enumerate(zip(text, text[1:]), 1) if pair not in inner), len(text)]:
+            piece = text[begin:end]
+            if piece not in known:
+                known[piece] = self.shortest(piece)
+            out += known[piece]
+            begin = end
+        return out
+
+    def search(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """borders and labels of the paths of short parts of a tape (a space stands for U+2581)."""
+        data, begin, end = text_buffers(parts)
+        size = end - begin
+        ends = np.cumsum(size + 1) - 1
+        heads = ends - size
+        room = int(ends[-1]) + 1
+        cells = np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)
+        text = np.zeros(room, np.uint8)
+        text[cells] = data[int(begin[0]) : int(end[-1])]
+        where = np.repeat(np.arange(len(size)), size)
+        chars = (data[int(begin[0]) : int(end[-1])] & 0xC0) != 0x80
+        at, of = cells[chars], where[chars]
+        one, two, label = self.trie.arcs(text, at, ends[of])
+        wide = CHAR_BYTES[text[at]]
+        single = np.zeros(room, bool)
+        single[one[two - one == CHAR_BYTES[text[one]]]] = True
+        lone = np.flatnonzero(~single[at])
+        one, two, label = np.r_[one, at[lone]], np.r_[two, (at + wide)[lone]], np.r_[label, np.full(len(lone), FALLBACK)]
+        head_of = np.zeros(room, np.int64)
+        head_of[cells] = heads[where]
+        last, back = relax(one, two, label, one - head_of[one], heads, room, self._weigh, START)
+        written = np.full(room, -1, np.int32)
+        now, stop = ends, heads
+        while len(now):
+            label, here = last[now], back[now]
+            if (label == START).any():
+                raise ValueError("a tape without a path")
+            written[here] = label
+            lone = label == FALLBACK
+            if lone.any():
+                a, b = here[lone], now[lone]
+                if (self.bytes_of >= 0).all():
+                    for k in range(4):
+                        on = a + k < b
+                        written[a[on] + k] = self.bytes_of[text[a[on] + k]]
+                else:
+                    written[a] = self.unknown
+            more = here > stop
+            now, stop = here[more], stop[more]
+        marked = written >= 0
+        upto = np.r_[0, np.cumsum(marked)]
+        return np.r_[upto[heads], upto[room]], written[marked]
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """borders (n + 1) and labels of the paths of all texts of an Arrow array; nulls and empty texts have none."""
@@ -366,12 +407,25 @@ class Transducer:
         starts = np.flatnonzero(cut)
         places = pa.py_buffer(np.append(starts, len(text)).astype(np.int64))
         parts = pa.LargeStringArray.from_buffers(len(starts), places, pa.py_buffer(np.ascontiguousarray(text))).dictionary_encode()
-        get = self.part_cache.__getitem__
-        paths = [get(w.replace(" ", SPACE)) for w in parts.dictionary.to_pylist()]
+        distinct = parts.dictionary
+        one_by_one = pc.binary_length(distinct).to_numpy() > SHORT
+        if self.model == BPE and not self.closed:
+            one_by_one[:] = True
+        together = distinct.filter(pa.array(~one_by_one))
+        borders, flat = self.search(together) if len(together) else (np.zeros(1, np.int64), np.zeros(0, np.int32))
+        size = np.zeros(len(distinct), np.int64)
+        size[~one_by_one] = np.diff(borders)
+        first = np.zeros(len(distinct), np.int64)
+        first[~one_by_one] = borders[:-1]
+        rest, total = [flat], len(flat)
+        for k in np.flatnonzero(one_by_one).tolist():
+            path = np.array(self.part(distinct[k].as_py().replace(" ", SPACE)), np.int32)
+            first[k], size[k] = total, len(path)
+            total += len(path)
+            rest.append(path)
+        flat = np.concatenate(rest)
         which = parts.indices.to_numpy()
-        size = np.array([len(x) for x in paths], np.int64)
-        first, many = np.cumsum(size) - size, size[which]
-        flat = np.array([i for x in paths for i in x], np.int32)
+        many = size[which]
         upto = np.cumsum(many)
         ids = flat[np.repeat(first[which] - (upto - many), many) + np.arange(upto[-1])]
         rows = np.searchsorted(starts, np.append(begin, end[-1]) - lo)
@@ -399,14 +453,14 @@ class Transducer:
         return out.cast(pa.string())
 
     def _decode_one(self, ids: list[int]) -> str:
-        """With U+FFFD for what isn't UTF-8 in a run of byte pieces."""
+        """With U+FFFD for each byte that isn't UTF-8 in a run of byte pieces."""
         out: list[bytes] = []
         run = bytearray()
         for i in [*ids, -1]:
             if i >= 0 and self.kinds[i] == BYTE:
                 run.append(int(self.pieces[i][1:-1], 16))
                 continue
-            out.append(run.decode("utf-8", "replace").encode())
+            out.append(run.decode("utf-8", "each_byte").encode())
             run.clear()
             if i >= 0:
                 out.append(self.written[self.begins[i] : self.begins[i] + self.sizes[i]].tobytes())
@@ -420,12 +474,11 @@ class Transducer:
         return self.decode_batch(np.array([0, len(ids)]), np.array(ids, np.int64))[0].as_py()
 
     def _caches(self) -> None:
-        self.spine_cache: dict[int, tuple | None] = {}
-        self.pair_cache: dict[int, bool] = {}
-        self.part_cache = Kept(self.part)
+        none = np.zeros(0, np.int64)
+        self.pair_cache = Table(none, none)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("spine_cache", "pair_cache", "part_cache")}
+        return {k: v for k, v in self.__dict__.items() if k != "pair_cache"}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)

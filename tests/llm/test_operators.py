@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siftwell.llm import chat_tree, decontaminate, exact_search, fm_index, language_id, license_scan, line_dedup, near_dedup, queries, sentencepiece_fst, token_counts, url_filter
+from siftwell.llm import chat_tree, decontaminate, exact_search, fm_index, language_id, lattice, license_scan, line_dedup, near_dedup, queries, sentencepiece_fst, token_counts, url_filter
 
 DATA = "/root/testdata/sf0.001"
 LONG = "word " * 30_000
@@ -161,6 +161,29 @@ def test_normaliser_kernels_write_the_machines_tape(rules):
     assert [t.replace(" ", "▁") if n.escape else t for t in tapes] == [n.run(t) for t in texts]
 
 
+def test_tables_and_tries():
+    rng = np.random.default_rng(11)
+    keys = rng.choice(10**12, 5000, replace=False)
+    table = lattice.Table(keys[:2000], np.arange(2000))
+    table.put(keys[2000:4000], np.arange(2000, 4000))
+    assert table.get(keys).tolist() == [*range(4000), *[-1] * 1000]
+    assert lattice.Table(keys[:0], keys[:0]).get(keys[:3]).tolist() == [-1] * 3
+    words_ = [b"a", b"ab", b"abc", b"ba", b"c"]
+    text = rng.choice(list(b"abc"), 300).astype(np.uint8)
+    got = lattice.ByteTrie(words_, list(range(5))).arcs(text, np.arange(300), np.full(300, 300))
+    want = {(i, i + len(w), k) for i in range(300) for k, w in enumerate(words_) if text[i : i + len(w)].tobytes() == w}
+    assert set(zip(*(x.tolist() for x in got), strict=True)) == want
+
+
+def test_sentencepiece_searches_alone_as_together():
+    mine = sentencepiece_fst.compile_model()
+    rng = np.random.default_rng(12)
+    texts = ["".join(rng.choice(list("the quickness of日é🤗,.12-"), rng.integers(1, 40))) for _ in range(400)]
+    for text in texts:
+        tape = mine.normaliser.run(text)
+        assert mine.encode(text) == mine.shortest(tape) == mine.part(tape)
+
+
 def test_unigram_path_is_least():
     pieces, scores = ["<unk>", "▁", "a", "b", "ab", "▁a", "ba", "aba"], [0, -1.0, -1, -1, -1.5, -3, -1.7, -2.0]
     m = sentencepiece_fst.Transducer(pieces, scores, [2, 1, 1, 1, 1, 1, 1, 1], model=sentencepiece_fst.UNIGRAM)
