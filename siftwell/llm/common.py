@@ -17,17 +17,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared folder of spark.checkpoint.dir; a local one is set only where none is named."""
-    spark = df.sparkSession
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir. Where none is named, a local master gets a folder of its own; elsewhere that would
+    be out of other machines' reach, so it is an error."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             import tempfile
 
             named = tempfile.mkdtemp(prefix="siftwell-checkpoint-")
         context.setCheckpointDir(named)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage through the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -7,26 +7,38 @@ their upper bound until the k-th best exact score is above all that are left.
 Vectors whose scores a float64 sum may not hold exactly, as queries or as candidates, are bounded by that sum with its rounding error
 instead, and their exact scores are sums of Python integers.
 
-Queries go in blocks of at most ``QUERY_BLOCK`` rows, one pass over all vectors each; a task keeps the k best of its partition for
-each query, and these few are merged by query.
+Queries go in blocks of at most ``QUERY_BLOCK`` rows, one pass over all vectors each: a block's broadcast has that bound and goes when
+its pass is over, and with more than one block each pass is written to the shared folder, so that neither the plan nor the driver
+grows with the queries. A task keeps the k + 1 best of its partition for each query, and these few are merged by query.
+
+A row isn't its own partner, but other rows of its id are. Rows of the same id and vector are one query with so many copies; of the k + 1
+best rows one that looks like the query itself is left out, and it doesn't matter which of those that look alike it is.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from math import inf, isqrt
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import checkpoint_dir, cut
+
 K = 5
 EVERY = 50
 SCALE = 256
 CELLS = 16
-BLOCK = 4096
-QUERY_BLOCK = 4096
+#: Vectors that are bounded at once; queries that share a broadcast, and those that are bounded at once.
+BLOCK = 1024
+QUERY_BLOCK = 16384
+QUERIES_AT_ONCE = 1024
+#: Stands for a null id, which comes last among equal scores.
+NO_ID = (1 << 63) - 1
 #: Vectors with a scaled component of this size go by Python integers, as do smaller ones that are long, so that scores are exact.
 LARGEST = 1 << 22
 #: From this size on components are whole numbers, and scaling could overflow.
@@ -75,27 +87,25 @@ def whole_numbers(row: np.ndarray) -> list[int]:
     return [int(x * SCALE) if abs(x) < WHOLE else int(x) * SCALE for x in row.tolist()]
 
 
-def search_large(query: np.ndarray, query_id: int, vectors: np.ndarray, ids: np.ndarray, best_so_far: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+def search_large(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, best_so_far: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
     """Betters what is kept of one query by vectors (not scaled, as the query) of any size."""
     scores, have = best_so_far
-    own = ids == query_id
-    up = np.where(own, -inf, inf)
+    up = np.full(len(ids), inf)
     certain = scores[k - 1] if len(scores) >= k else -inf
     d = len(query)
     # Otherwise the sums could overflow, and all vectors are read.
     if np.frexp(np.abs(query).max())[1] + np.frexp(np.abs(vectors).max())[1] + d.bit_length() < 1000:
         about = (vectors @ query) * SCALE**2
         error = (np.abs(vectors) @ np.abs(query)) * (SCALE**2 * (d + 4) * 2.0**-51)
-        low, up = np.where(own, -inf, about - error), np.where(own, -inf, about + error)
+        low, up = about - error, about + error
         if len(low) > k:
             certain = max(certain, float(np.partition(low, len(low) - k)[len(low) - k]))
-    numbers = whole_numbers(query)
-    left = np.flatnonzero((up >= as_float(certain)) & (up > -inf))
+    left = np.flatnonzero(up >= as_float(certain))
     left = left[np.argsort(-up[left], kind="stable")]
     while len(left):
         now, left = left[: 8 * k], left[8 * k :]
         found = np.empty(len(now), object)
-        found[:] = [sum(a * b for a, b in zip(numbers, whole_numbers(vectors[i]), strict=True)) for i in now]
+        found[:] = [exact_score(query, vectors[i]) for i in now]
         scores, have = np.r_[scores.astype(object), found], np.r_[have, ids[now]]
         top = best(scores, have, k)
         scores, have = scores[top], have[top]
@@ -104,6 +114,10 @@ def search_large(query: np.ndarray, query_id: int, vectors: np.ndarray, ids: np.
     return scores, have
 
 
+def exact_score(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(x * y for x, y in zip(whole_numbers(a), whole_numbers(b), strict=True))
+
+
 def as_float(score: float) -> float:
     try:
         return float(score)
@@ -111,26 +125,24 @@ def as_float(score: float) -> float:
         return inf if score > 0 else -inf
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> int:
+def search_block(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> int:
     """Betters kept (scores, ids of each query) by a block; returns how many exact vectors were read."""
-    file = CellFile(vectors)
-    lower, upper = file.bounds(queries.astype(np.float64))
     exact = vectors.astype(np.float64)
+    floats = queries.astype(np.float64)
+    lower, upper = CellFile(vectors).bounds(floats)
+    certain = np.array([as_float(s[k - 1]) if len(s) >= k else -np.inf for s, _ in kept])
+    if lower.shape[1] > k:
+        certain = np.maximum(certain, np.partition(lower, lower.shape[1] - k, axis=1)[:, lower.shape[1] - k])
     read = 0
-    for q in range(len(queries)):
+    # Most blocks hold nothing for most queries, once these have k good partners.
+    for q in np.flatnonzero((upper >= certain[:, None]).any(1)).tolist():
         scores, have = kept[q]
-        up, low = upper[q], lower[q]
-        own = ids == query_ids[q]
-        if own.any():
-            up, low = np.where(own, -np.inf, up), np.where(own, -np.inf, low)
-        certain = scores[k - 1] if len(scores) >= k else -np.inf
-        if len(low) > k:
-            certain = max(certain, float(np.partition(low, len(low) - k)[len(low) - k]))
-        left = np.flatnonzero((up >= as_float(certain)) & (up > -np.inf))
+        up = upper[q]
+        left = np.flatnonzero(up >= certain[q])
         left = left[np.argsort(-up[left], kind="stable")]
         while len(left):
             now, left = left[: 8 * k], left[8 * k :]
-            found = (exact[now] @ queries[q].astype(np.float64)).astype(np.int64)
+            found = (exact[now] @ floats[q]).astype(np.int64)
             read += len(now)
             scores, have = np.r_[scores, found], np.r_[have, ids[now]]
             top = best(scores, have, k)
@@ -141,82 +153,104 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     return read
 
 
-def search_any(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
+def search_any(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
     """search_block for vectors and queries that aren't scaled yet, of any size."""
     limit = exact_limit(vectors.shape[1]) / SCALE
     few, small = np.abs(queries).max(1) < limit, np.abs(vectors).max(1) < limit
-    if small.any() and few.any():
-        at = np.flatnonzero(few)
-        mine = [kept[q] for q in at]
-        search_block((queries[at] * SCALE).astype(np.int32), query_ids[at], (vectors[small] * SCALE).astype(np.int32), ids[small], mine, k)
-        for q, found in zip(at.tolist(), mine, strict=True):
-            kept[q] = found
+    if small.any():
+        mine, block, own = np.flatnonzero(few), (vectors[small] * SCALE).astype(np.int32), ids[small]
+        for a in range(0, len(mine), QUERIES_AT_ONCE):
+            at = mine[a : a + QUERIES_AT_ONCE]
+            better = [kept[q] for q in at]
+            search_block((queries[at] * SCALE).astype(np.int32), block, own, better, k)
+            for q, found in zip(at.tolist(), better, strict=True):
+                kept[q] = found
     large = vectors[~small], ids[~small]
-    for q in range(len(queries)):
-        rest = large if few[q] else (vectors, ids)
-        if len(rest[1]):
-            kept[q] = search_large(queries[q], query_ids[q], *rest, kept[q], k)
+    for q in range(len(queries)) if len(large[1]) else np.flatnonzero(~few).tolist():
+        kept[q] = search_large(queries[q], *(large if few[q] else (vectors, ids)), kept[q], k)
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id and v (array of double): floor(256 x) / 256 with x as double, which is exact and can't overflow. Left out: null ids, null
-    or empty vectors, null or non-finite components."""
-    x = F.col(vector_col).cast("array<double>")
+    """id and v (array of double): floor(256 x) / 256 with x as double, which is exact and can't overflow. Left out: null or empty
+    vectors, null or non-finite components."""
+    x = F.col(f"`{vector_col}`").cast("array<double>")
     fine = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < F.lit(inf)))
-    usable = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & F.coalesce(fine, F.lit(False))
-    return vectors.filter(usable).select(F.col(id_col).alias("id"), F.transform(x, lambda c: F.when(F.abs(c) < WHOLE, F.floor(c * SCALE) / float(SCALE)).otherwise(c)).alias("v"))
+    usable = x.isNotNull() & (F.size(x) > 0) & F.coalesce(fine, F.lit(False))
+    return vectors.filter(usable).select(F.col(f"`{id_col}`").alias("id"), F.transform(x, lambda c: F.when(F.abs(c) < WHOLE, F.floor(c * SCALE) / float(SCALE)).otherwise(c)).alias("v"))
+
+
+def _search(ready: DataFrame, mine: list, k: int) -> tuple[DataFrame, object]:
+    """The k + 1 best of each partition for the queries of one block, and the block's broadcast."""
+    by_length: dict[int, tuple[np.ndarray, ...]] = {}
+    for size in sorted({len(r.v) for r in mine}):
+        same = [r for r in mine if len(r.v) == size]
+        by_length[size] = (np.array([r.q for r in same], np.int64), np.array([r.id for r in same], np.int64), np.array([r.copies for r in same], np.int64), np.array([r.v for r in same], np.float64))
+    shared = ready.sparkSession.sparkContext.broadcast(by_length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = shared.value
+        none = np.zeros(0, np.int64)
+        kept = {n: [(none, none)] * len(q[0]) for n, q in blocks.items()}
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(a, BLOCK)
+                ids = part.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+                lengths = part.column("v").value_lengths().to_numpy(zero_copy_only=False)
+                values = part.column("v").flatten().to_numpy()
+                borders = np.r_[0, np.cumsum(lengths)]
+                for n in np.unique(lengths).tolist():
+                    if n in blocks:
+                        rows = np.flatnonzero(lengths == n)
+                        matrix = values[borders[rows][:, None] + np.arange(n)]
+                        search_any(blocks[n][3], matrix, ids[rows], kept[n], k + 1)
+        for n, (numbers, query_ids, copies, queries) in blocks.items():
+            out: list[tuple] = []
+            for q, (scores, ids) in enumerate(kept[n]):
+                itself = exact_score(queries[q], queries[q])
+                for score, other in zip(scores.tolist(), ids.tolist(), strict=True):
+                    own = other == query_ids[q] and score == itself
+                    out.append((int(numbers[q]), int(query_ids[q]), int(copies[q]), None if other == NO_ID else other, score if -(1 << 63) <= score < 1 << 63 else None, sort_key(score), own))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["q", "query_id", "copies", "vec_id", "score", "key", "own"])
+
+    rows = ready.select(F.col("id").cast("long").alias("id"), "v")
+    return rows.mapInArrow(run, "q long, query_id long, copies long, vec_id long, score long, key binary, own boolean"), shared
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding", query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k highest integer inner products of each row whose id is divisible by ``every``, with all
-    rows but those of its own id; all, if there are fewer. Ties go to the smaller id.
+    """query_id, rank, vec_id, score: the k highest integer inner products of each row whose id is divisible by ``every``, with every
+    row but itself; all, if there are fewer. Ties go to the smaller id, a null id last.
 
-    Rows that repeat an id are candidates each; as a query, the smallest of their vectors stands for the id. Vectors of another
-    length than the query's are no candidates for it. All finite vectors count; a score beyond a long is null, but ranked exactly.
+    Rows that repeat an id are queries and candidates each, so an id can have several ranks 1. A row with a null id is a candidate
+    only. Vectors of another length than the query's are no candidates for it. All finite vectors count; a score beyond a long is
+    null, but ranked exactly. An empty table gives no rows; extra columns are ignored. (An id of 2**63 - 1 is taken for null.)
     """
+    spark = vectors.sparkSession
     ready = quantised(vectors, id_col, vector_col)
-    queries = ready.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-queries.count() // query_block))
     kind = ready.schema["id"].dataType.simpleString()
-    found = None
+    queries = cut(ready.filter(F.col("id") % every == 0).groupBy("id", "v").agg(F.count("*").alias("copies")))
+    blocks = max(1, -(-queries.count() // query_block))
+    where = f"{checkpoint_dir(spark)}/exact-search-{uuid.uuid4().hex}"
     for b in range(blocks):
-        mine = sorted(queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect())
-        by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in sorted({len(r.v) for r in mine}):
-            same = [r for r in mine if len(r.v) == size]
-            by_length[size] = (np.array([r.id for r in same], np.int64), np.array([r.v for r in same], np.float64))
-        shared = vectors.sparkSession.sparkContext.broadcast(by_length)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            blocks = shared.value
-            none = np.zeros(0, np.int64)
-            kept = {n: [(none, none)] * len(q[0]) for n, q in blocks.items()}
-            for batch in batches:
-                for a in range(0, batch.num_rows, BLOCK):
-                    part = batch.slice(a, BLOCK)
-                    ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-                    lengths = part.column("v").value_lengths().to_numpy(zero_copy_only=False)
-                    values = part.column("v").flatten().to_numpy()
-                    borders = np.r_[0, np.cumsum(lengths)]
-                    for n in np.unique(lengths).tolist():
-                        if n in blocks:
-                            rows = np.flatnonzero(lengths == n)
-                            matrix = values[borders[rows][:, None] + np.arange(n)]
-                            search_any(blocks[n][1], blocks[n][0], matrix, ids[rows], kept[n], k)
-            for n, (query_ids, _) in blocks.items():
-                many = [len(s) for s, _ in kept[n]]
-                if sum(many):
-                    scores = [x for s, _ in kept[n] for x in s.tolist()]
-                    columns = [
-                        pa.array(np.repeat(query_ids, many)),
-                        pa.array(np.concatenate([i for _, i in kept[n]])),
-                        pa.array([x if -(1 << 63) <= x < 1 << 63 else None for x in scores], pa.int64()),
-                        pa.array(map(sort_key, scores), pa.binary()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "key"])
-
-        part = ready.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(run, "query_id long, vec_id long, score long, key binary")
-        found = part if found is None else found.union(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("key"), "vec_id")
-    top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return top.select(F.col("query_id").cast(kind).alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").cast(kind).alias("vec_id"), "score")
+        mine = queries.filter(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == b).select(F.col("id").cast("long").alias("id"), "v", "copies").collect()
+        numbered = [r + (b << 40 | i,) for i, r in enumerate(sorted(mine))]
+        found, shared = _search(ready, [_Query(*r) for r in numbered], k)
+        if blocks > 1:
+            found.write.mode("append").parquet(where)
+            shared.destroy()
+    found = spark.read.parquet(where) if blocks > 1 else found
+    order = Window.partitionBy("q").orderBy(F.desc("key"), F.asc_nulls_last("vec_id"))
+    top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1)
+    itself = F.coalesce(F.min(F.when(F.col("own"), F.col("rank"))).over(Window.partitionBy("q")), F.lit(k + 1))
+    top = top.withColumn("itself", itself).filter("rank <> itself").withColumn("rank", F.col("rank") - (F.col("rank") > F.col("itself")).cast("int"))
+    shown = top.select(F.explode(F.array_repeat("query_id", F.col("copies").cast("int"))).alias("query_id"), "rank", "vec_id", "score")
+    return shown.select(F.col("query_id").cast(kind).alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").cast(kind).alias("vec_id"), "score")
+
+
+class _Query(NamedTuple):
+    id: int
+    v: list[float]
+    copies: int
+    q: int

@@ -93,11 +93,10 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum({len("<|im_start|>") + len("<|im_end|>") + 2} + length({_ESCAPED.format(_ROLE)}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id""",
     "op9_exact_search": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.rid <> q.rid),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op2_line_dedup": """
 WITH lines AS (

@@ -311,7 +311,7 @@ def test_exact_search(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(0, 0.3, (400, 8)).astype(np.float32)
     vectors[50:90] = vectors[50]
-    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 8), (None, [1.0] * 8), (1150, [1.0, 2.0])]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 8), (1150, [1.0, 2.0]), (1200, [])]
     got = defaultdict(list)
     for r in exact_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
@@ -323,6 +323,24 @@ def test_exact_search(spark):
     assert set(got) == set(range(0, 400, 50))
 
 
+@pytest.mark.parametrize("block", [16384, 3])
+def test_exact_search_by_row(spark, block):
+    """Repeated ids, repeated rows and null ids: every row but the query's own is a candidate."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) for x in rng.integers(-3, 4, 3)]) for i in rng.choice([0, 50, 100, 7, 8, 9], 60)]
+    rows += [(50, [9.0, 9.0, 9.0])] * 3 + [(50, [20.0, -20.0, 0.0]), (None, [10.0, 10.0, 10.0]), (None, [0.0, 0.0, 0.0]), (None, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("q", F.lit(1)).withColumn("own", F.lit(1))
+    got = sorted((r.query_id, r.rank, -1 if r.vec_id is None else r.vec_id, r.score) for r in exact_search.top_k(frame, query_block=block).collect())
+    want = []
+    usable = [(i, [int(256 * x // 1) for x in v]) for i, v in rows if v is not None]
+    for k, (i, v) in enumerate(usable):
+        if i is not None and i % 50 == 0:
+            others = [(-sum(a * b for a, b in zip(v, w, strict=True)), j is None, j or 0) for n, (j, w) in enumerate(usable) if n != k]
+            want += [(i, r, -1 if null else j, -score) for r, (score, null, j) in enumerate(sorted(others)[:5], 1)]
+    assert got == sorted(want)
+    assert exact_search.top_k(frame.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize(("size", "kind"), [(8, "float"), (600, "float"), (8, "double")])
 def test_exact_search_of_large_components(spark, size, kind):
     rng = np.random.default_rng(6)
