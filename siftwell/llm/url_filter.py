@@ -22,8 +22,10 @@ RULES = (
     ("block", "org/es/"),
 )
 DAMPING = 0.85
-ROUNDS = 10
-#: Rounds between two cuts of the lineage.
+#: Propagation ends when the mass still to be moved, of 1 each for trust and distrust, is at most this; 0.85 of it is left by a round,
+#: so that takes under 90 rounds on any graph.
+TOLERANCE = 1e-6
+#: Rounds between two cuts of the lineage, each with a look at what moved.
 CUT_EVERY = 5
 THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,7 +54,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     pages: host, html and weight."""
     links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s<>]+)"), 1)
     linked = pages.select(F.col("host").alias("source"), F.explode(F.transform(links, lambda x: F.translate(x, UPPER, LOWER))).alias("target"))
-    linked = linked.filter("source <> '' and source <> target").groupBy("source", "target").agg(F.count("*").cast("double").alias("weight"))
+    # Cut, as it is used twice and has read all pages.
+    linked = cut(linked.filter("source <> '' and source <> target").groupBy("source", "target").agg(F.count("*").cast("double").alias("weight")))
     hosts = pages.select("host").union(linked.select("target")).filter("host <> ''").distinct()
     # Every host with the next shorter domain, down to two labels.
     labels = F.split("host", r"\.")
@@ -67,8 +70,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.union(structure).groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """host, trust, distrust. seeds: host, allowed, blocked (numbers of pages)."""
+def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """host, trust, distrust. seeds: host, allowed, blocked (numbers of pages); edges: source, target, weight."""
     totals = seeds.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).first()
     start = seeds.select(
         "host", (F.col("allowed") / F.lit(float(totals.a or 1))).alias("trust"), (F.col("blocked") / F.lit(float(totals.b or 1))).alias("distrust")
@@ -81,14 +84,23 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping:
     forward = shares.select(F.col("source").alias("at"), F.col("target").alias("to"), (F.col("weight") / F.col("all_out")).alias("t"), F.lit(0.0).alias("d"))
     backward = shares.select(F.col("target").alias("at"), F.col("source").alias("to"), F.lit(0.0).alias("t"), (F.col("weight") / F.col("all_in")).alias("d"))
     flow = cut(forward.union(backward).groupBy("at", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
-    rank = start
-    for k in range(rounds):
-        moved = flow.join(rank.withColumnRenamed("host", "at"), "at").select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("d") * damping).alias("distrust"))
-        stay = start.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
-        rank = moved.union(stay).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if k % CUT_EVERY == CUT_EVERY - 1:
-            rank = cut(rank)
-    return rank
+    # wave is the mass that moved in the last round, rank all mass that came to rest: (1 - damping) of each wave.
+    wave, rank = start, start.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
+    while True:
+        rests = [rank]
+        for _ in range(CUT_EVERY):
+            moved = flow.join(wave.withColumnRenamed("host", "at"), "at").select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("d") * damping).alias("distrust"))
+            wave = moved.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            rests.append(wave.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust")))
+        # One table, so that the waves of these rounds are made once: each host with its last wave and its rest.
+        both = wave.withColumn("rest", F.lit(False))
+        for r in rests:
+            both = both.unionByName(r.withColumn("rest", F.lit(True)))
+        both = cut(both.groupBy("host", "rest").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+        wave, rank = both.filter("not rest").drop("rest"), both.filter("rest").drop("rest")
+        left = wave.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
+        if max(left.t or 0.0, left.d or 0.0) <= tolerance:
+            return rank
 
 
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -96,7 +108,8 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, id_col: s
 
     Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up to ``?``, ``#`` or the end; both empty for
     a null url or one without ``://``. Pages without a host, and hosts that neither trust nor distrust reaches, are allowed. A
-    null html has no links. Repeated rows are judged alike, and each counts as a page.
+    null html has no links. Repeated rows are judged alike, and each counts as a page; ids may be null. Extra columns are ignored, an
+    empty table gives no rows.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     named = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
