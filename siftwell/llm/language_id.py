@@ -28,11 +28,19 @@ STEPS = 160
 BATCH = 64
 #: Windows that step together: 1,024 x 128 bytes.
 ABREAST = 1024
-LETTER = re.compile(r"[^\W\d_]")
+ASCII_LETTER = re.compile("[A-Za-z]")
+#: The classifier learns at most so many languages, those of the most documents: a bound of what is fitted, as a column of free text
+#: may hold any number of values.
+LANGUAGES = 200
 #: Positions that count for the pool: ASCII letters and bytes of other characters.
 POOLED = np.array([(65 <= b <= 90) or (97 <= b <= 122) or b >= 128 for b in range(256)])
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is in one of Unicode's letter categories: no digits, fractions or enclosed letters."""
+    return ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -247,22 +255,15 @@ def pooled(m: Model, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learns from text and language of about ``sample_docs`` documents of each language, chosen by a hash of the id among those
-    whose crc32(id as text) mod 3 is not 1. Counts come from all documents; the sample that reaches the driver is bounded."""
-    learn = docs.filter((F.crc32(F.col(id_col).cast("string")) % 3 != 1) & F.col(lang_col).isNotNull())
-    counts = {r[0]: r[1] for r in learn.groupBy(F.col(lang_col)).count().collect()}
-    if not counts:
-        return fit([], [])
-    share = F.coalesce(*[F.when(F.col(lang_col) == lang, F.lit(min(1.0, 1.3 * sample_docs / n))) for lang, n in counts.items()])
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("language")), F.lit(1_000_003)) / 1_000_003.0
+    whose crc32(id as text) mod 3 is not 1. Counts come from all documents; the sample that reaches the driver is bounded by
+    ``sample_docs`` and ``LANGUAGES``. Rows with a null id, text or language teach nothing; with none left, no language is learned."""
+    learn = docs.filter((F.crc32(F.col(id_col).cast("string")) % 3 != 1) & F.col(lang_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
+    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1_000_003)) / 1_000_003.0
     # Of a long text, SAMPLE_WINDOWS evenly spaced windows are learnt from.
     step = F.greatest(F.lit(1), (F.length("t") / F.lit(SAMPLE_WINDOWS)).cast("int"))
     piece = F.array(*[F.substring(F.col("t"), F.lit(1) + step * k, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)])
-    rows = (
-        learn.filter((draw < share) & F.col(text_col).isNotNull())
-        .select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
-        .select("id", "lang", F.array_distinct(piece).alias("pieces"))
-        .collect()
-    )
+    rows = learn.join(counts, "lang").filter((draw < F.least(F.lit(1.0), 1.3 * sample_docs / F.col("n"))) & F.col("t").isNotNull()).select("id", "lang", F.array_distinct(piece).alias("pieces")).collect()
     seen: dict[str, int] = {}
     texts, labels = [], []
     for r in sorted(rows, key=lambda r: (r.id, r.lang, r.pieces)):
@@ -291,7 +292,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             p = pooled(model, data, begin, end)
             best = p.argmax(1) if len(p) else np.zeros(0, np.int64)
             score = p[np.arange(len(p)), best].clip(0, 1)
-            none = np.array([not model.languages or t is None or LETTER.search(t) is None for t in map(pa.StringScalar.as_py, text)], bool)
+            none = np.array([not model.languages or t is None or not has_letter(t) for t in map(pa.StringScalar.as_py, text)], bool)
             best[none], score[none] = len(model.languages), 0.0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score, pa.float64()), *map(batch.column, keep)],
