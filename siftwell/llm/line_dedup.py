@@ -160,13 +160,6 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with _dropped (0 where none) and _bitmap (null where every line stays)."""
-    marks = bitmaps.select(F.col("doc").alias("_doc"), F.col("tkey").alias("_tkey"), F.col("dropped_lines").alias("_dropped"), F.col("bitmap").alias("_bitmap"))
-    met = docs.join(marks, (F.col(id_col) == F.col("_doc")) & (F.xxhash64(F.col(text_col)) == F.col("_tkey")), "left")
-    return met.withColumn("_dropped", F.coalesce("_dropped", F.lit(0).cast("long"))).drop("_doc", "_tkey")
-
-
 def _apply(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     out = []
     for t, b in zip(text, bitmap, strict=True):
@@ -177,9 +170,15 @@ def _apply(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the dropped lines gone from the text (kept lines joined by \\n) and _dropped; all other columns stay."""
-    met = with_bitmaps(docs, bitmaps, id_col, text_col)
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", dropped: str | None = "_dropped") -> DataFrame:
+    """docs with the dropped lines gone from the text (kept lines joined by \\n) and, unless None, how many as ``dropped``; all other
+    columns stay as they are, whatever their names."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    left = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(F.col(f"`{text_col}`")).alias("tkey"), F.col(f"`{text_col}`").alias("t"), row)
+    met = left.join(bitmaps.select("doc", "tkey", "dropped_lines", "bitmap"), ["doc", "tkey"], "left")
     apply = F.pandas_udf(_apply, "string")
-    new = F.when(F.col("_bitmap").isNull(), F.col(text_col)).otherwise(apply(F.when(F.col("_bitmap").isNotNull(), F.col(text_col)), F.col("_bitmap")))
-    return met.withColumn(text_col, new).drop("_bitmap")
+    hit = F.col("bitmap").isNotNull()
+    new = F.when(hit, apply(F.when(hit, F.col("t")), F.col("bitmap"))).otherwise(F.col("t"))
+    columns = [new.alias(text_col) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    more = [F.coalesce("dropped_lines", F.lit(0).cast("long")).alias(dropped)] if dropped else []
+    return met.select(*columns, *more)
