@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def folds(rows: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     """Adds fold: by a hash of the key, so that equal keys share a fold and no sort is needed."""
@@ -50,8 +52,33 @@ def leakage(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def percentiles(rows: DataFrame, value: str, at: list[float]) -> DataFrame:
-    """One row of exact percentiles with linear interpolation."""
-    return rows.agg(*[F.percentile(value, F.lit(p)).alias(f"p{round(p * 100)}") for p in at])
+    """One row of exact percentiles with linear interpolation; nulls don't count, and all are null if there is no value.
+
+    Distinct values and their counts are range-partitioned; the partitions' totals, one row each, tell which hold the ranks asked
+    for, and only these number their values. No task sees more than a partition.
+    """
+    spark = rows.sparkSession
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    ranged = cut(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    sizes = {r.part: r.n for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    total = sum(sizes.values())
+    names = [f"p{round(p * 100)}" for p in at]
+    if not total:
+        return spark.createDataFrame([(None,) * len(at)], ", ".join(f"{n} double" for n in names))
+    before, start = {}, 0
+    for part in sorted(sizes):
+        before[part], start = start, start + sizes[part]
+    places = [p * (total - 1) for p in at]
+    wanted = sorted({int(x) for x in places} | {min(total - 1, int(x) + 1) for x in places})
+    held = [part for part in sizes if any(before[part] <= w < before[part] + sizes[part] for w in wanted)]
+    base = F.create_map(*[x for part in held for x in (F.lit(part), F.lit(before[part]))])
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = ranged.filter(F.col("part").isin(held)).withColumn("end", base[F.col("part")] + upto)
+    asked = F.array(*[F.lit(w) for w in wanted])
+    hits = placed.select("v", F.explode(F.filter(asked, lambda w: (w < F.col("end")) & (w >= F.col("end") - F.col("n")))).alias("w")).collect()
+    value_at = {r.w: r.v for r in hits}
+    out = [value_at[int(x)] + (value_at[min(total - 1, int(x) + 1)] - value_at[int(x)]) * (x - int(x)) for x in places]
+    return spark.createDataFrame([tuple(out)], ", ".join(f"{n} double" for n in names))
 
 
 def negatives(rows: DataFrame, sample: str, item: str, score: str, label: str, hard: int = 20, total: int = 30, seed: int = 42) -> DataFrame:

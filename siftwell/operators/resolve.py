@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..functions import similarity as sim
 from ..functions import text as T
 from .lineage import cut
 from .select import best_per_group
 
-#: Most entities that a name may stand for; scores of name variants.
-NAME_CAP = 5
-VARIANT_SCORES = {"exact": 0.84, "compact": 0.81, "singular": 0.79, "stereo_stripped": 0.77}
-
 
 def name_index(names: DataFrame, entity: str, name: str, clean: bool = True) -> DataFrame:
     """Long table entity, variant_rank, variant, key: what a dictionary of names would hold."""
@@ -22,7 +19,7 @@ def name_index(names: DataFrame, entity: str, name: str, clean: bool = True) ->
     return names.select(entity, F.explode(rows).alias("r")).select(entity, "r.*").filter("key <> ''").distinct()
 
 
-def unambiguous(index: DataFrame, entity: str, cap: int = NAME_CAP) -> DataFrame:
+def unambiguous(index: DataFrame, entity: str, cap: int = C.NAME_CAP) -> DataFrame:
     """Keys that stand for at most cap entities. Hot keys leave by an aggregation before anything is joined."""
     few = index.groupBy("key").agg(F.count_distinct(entity).alias("_n")).filter(F.col("_n") <= cap).select("key")
     return index.join(few, "key", "left_semi")
@@ -80,12 +77,37 @@ def shared_members(a: DataFrame, a_key: str, b: DataFrame, b_key: str, member: s
     return rows.withColumn("jaccard", F.col("n_common") / (F.col("n_a") + F.col("n_b") - F.col("n_common"))).withColumn("overlap", F.col("n_common") / F.least("n_a", "n_b"))
 
 
-def token_dice_join(a: DataFrame, a_key: str, a_text: str, b: DataFrame, b_key: str, b_text: str, least: float) -> DataFrame:
-    """a_key, b_key, dice of all pairs with a token-set Dice of at least ``least``, by shared tokens."""
-    left = a.select(a_key, F.explode(T.tokens(F.col(a_text))).alias("_t"))
-    right = b.select(b_key, F.explode(T.tokens(F.col(b_text))).alias("_t"))
-    rows = shared_members(left, a_key, right, b_key, "_t")
-    return rows.withColumn("dice", 2.0 * F.col("n_common") / (F.col("n_a") + F.col("n_b"))).filter(F.col("dice") >= least).select(a_key, b_key, "dice")
+def token_dice_join(a: DataFrame, a_key: str, a_tokens: Column, b: DataFrame, b_key: str, b_tokens: Column, least: float) -> DataFrame:
+    """a_key, b_key, dice of all pairs with a token-set Dice of at least ``least`` (above 0).
+
+    Sets are ordered from their rarest token on. Two that reach ``least`` share one of the first tokens, as many as a set can have
+    besides its part in the smallest overlap allowed; only these are joined on, so a token that all texts have joins nothing. Sizes
+    that can't reach ``least`` are out before sets are compared.
+    """
+    share = least / (2 - least)
+    sets = [f.select(F.col(key).alias("k"), F.array_distinct(tokens).alias("set")).filter(F.size("set") > 0) for f, key, tokens in ((a, a_key, a_tokens), (b, b_key, b_tokens))]
+    words = [f.select("k", F.size("set").alias("n"), F.explode("set").alias("t")) for f in sets]
+    often = words[0].select("t").unionAll(words[1].select("t")).groupBy("t").agg(F.count("*").alias("df"))
+    heads = []
+    for w in words:
+        ordered = w.join(often, "t").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("o"))
+        first = F.slice("o", 1, F.col("n") - F.ceil(share * F.col("n") - 1e-9).cast("int") + 1)
+        heads.append(ordered.select("k", "n", F.explode(first.getField("t")).alias("t")))
+    one, two = heads[0].withColumnsRenamed({"k": "ka", "n": "na"}), heads[1].withColumnsRenamed({"k": "kb", "n": "nb"})
+    near = F.least("na", "nb") >= share * F.greatest("na", "nb") - 1e-9
+    pairs = one.join(two, "t").filter(near).select("ka", "kb").distinct()
+    both = pairs.join(sets[0].withColumnsRenamed({"k": "ka", "set": "sa"}), "ka").join(sets[1].withColumnsRenamed({"k": "kb", "set": "sb"}), "kb")
+    return both.withColumn("dice", sim.dice(F.col("sa"), F.col("sb"))).filter(F.col("dice") >= least).select(F.col("ka").alias(a_key), F.col("kb").alias(b_key), "dice")
+
+
+def token_edit_join(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
+    """left, right: pairs of normalised names that are equal, differ in one token by one edit, or where one has one more token that
+    may be ignored. Candidates share the whole name or what is left of it without one token."""
+    left = a.select(F.col(a_name).alias("left")).distinct()
+    right = b.select(F.col(b_name).alias("right")).distinct()
+    keys = lambda c: F.explode(F.array_distinct(F.concat(F.array(c), T.token_deletions(c))))
+    pairs = left.withColumn("_k", keys(F.col("left"))).join(right.withColumn("_k", keys(F.col("right"))), "_k").select("left", "right").distinct()
+    return pairs.filter(T.within_one_token(F.split("left", " "), F.split("right", " ")))
 
 
 def division(members: DataFrame, group: str, member: str, required: DataFrame) -> DataFrame:

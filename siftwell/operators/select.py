@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Weights of alias sources; any other source weighs 0.
-ALIAS_WEIGHTS = {
-    "compound_name": 0.10, "ascii_name": 0.08, "aracyc_common": 0.08, "lipidmaps_common": 0.08, "chebi_synonym": 0.07, "plantcyc_common": 0.07,
-    "chebi_iupac": 0.06, "aracyc_synonym": 0.06, "lipidmaps_systematic": 0.06, "chebi_inn": 0.05, "pubchem": 0.05, "plantcyc_synonym": 0.05, "lipidmaps_synonym": 0.05,
-}
+from .. import constants as C
 
 
 def best_per_group(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -22,7 +18,7 @@ def top_per_group(rows: DataFrame, keys: list[str], order: list[Column], k: int,
     return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
-def source_weight(source: Column, weights: dict[str, float] = ALIAS_WEIGHTS) -> Column:
+def source_weight(source: Column, weights: dict[str, float] = C.ALIAS_SOURCE_WEIGHTS) -> Column:
     found = F.lit(0.0)
     for name, weight in weights.items():
         found = F.when(source == name, weight).otherwise(found)
@@ -51,17 +47,18 @@ def select_candidates(rows: DataFrame, keys: list[str], score: str, direct: str,
     return ranked.filter(((F.col("_direct") == 1) & F.col(direct)) | ((F.col("_direct") == 0) & top)).drop("_direct")
 
 
-def merge_evidence(rows: DataFrame, keys: list[str], score: str, method: str, direct: str, reason: str, most_reasons: int = 8) -> DataFrame:
-    """One row of each key: pieces of evidence, best score with its method (ties to the name that sorts first), whether any is
-    direct, distinct methods, and the first distinct reasons in sorted order."""
-    return rows.groupBy(*keys).agg(
+def merge_evidence(rows: DataFrame, keys: list[str], score: str, method: str, direct: str, reason: str, seq: str, most_reasons: int = 8) -> DataFrame:
+    """One row of each key: pieces of evidence, best score with the method that reached it first, whether any is direct, distinct
+    methods, and the first distinct reasons by ``seq``, the order in which the evidence came."""
+    first = rows.groupBy(*keys, reason).agg(F.min(seq).alias("_seq")).groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list(F.struct("_seq", F.col(reason).alias("r")))), 1, most_reasons).alias("_first"))
+    merged = rows.groupBy(*keys).agg(
         F.count("*").alias("n_evidence"),
         F.max(score).alias("best_score"),
-        F.min(F.struct((-F.col(score)).alias("s"), F.col(method).alias("m"))).getField("m").alias("best_method"),
+        F.min(F.struct((-F.col(score)).alias("s"), F.col(seq).alias("q"), F.col(method).alias("m"))).getField("m").alias("best_method"),
         F.bool_or(direct).alias("any_direct"),
         F.array_sort(F.collect_set(method)).alias("methods"),
-        F.slice(F.array_sort(F.collect_set(reason)), 1, most_reasons).alias("reasons"),
     )
+    return merged.join(first.select(*keys, F.col("_first.r").alias("reasons")), keys)
 
 
 def coverage(rows: DataFrame, status: Column) -> DataFrame:

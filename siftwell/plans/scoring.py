@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats
+from ..functions.numbers import exact_round_sql
 from ..operators import evaluate as E
 from ..operators import resolve as R
 from ..operators import select as S
@@ -16,22 +17,29 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _COUNTS = ["n_universe", "n_group", "n_target", "n_hits"]
-_REALS = ["expected", "enrichment", "coverage", "p_value", "fdr", "log_fdr", "score"]
+_REALS = ["target_rate", "background_rate", "expected", "excess", "enrichment", "coverage", "p_value", "fdr", "log_p", "log_fdr", "mapping_mean", "mapping_min", "mapping_max", "score"]
+_TYPES = ["n_direct", "n_fuzzy", "n_recovered", "n_exact_structure", "n_structural_neighbor"]
 
 
 def _shown(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, *_COUNTS, *[F.round(c, 6).alias(c) for c in _REALS], "confidence")
+    return rows.select(*keys, *_COUNTS, *[F.round(c, 6).alias(c) for c in _REALS], *_TYPES, "confidence", F.array_join("hit_ids", ";").alias("hit_ids"), F.col("baseline_rank").cast("long").alias("baseline_rank"))
+
+
+def _as_targets(lines: DataFrame, *keys) -> DataFrame:
+    """Lines as resolved names: the return flag is the kind of match, the discount what its score lacks."""
+    kind = F.when(F.col("l_returnflag") == "R", "fuzzy").when(F.col("l_returnflag") == "A", "exact_structure").otherwise("direct")
+    return lines.select(*keys, F.col("l_partkey").alias("member"), kind.alias("match_type"), (1 - F.col("l_discount")).alias("match_score"), F.col("l_partkey").cast("string").alias("name"))
 
 
 def set_enrichment(spark, d):
     membership = _t(spark, d, "part").select(F.col("p_brand").alias("group_id"), F.col("p_partkey").alias("member"))
     bought = _t(spark, d, "orders").filter("o_custkey < 3").join(_t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    return _shown(stats.over_representation(membership, bought.select(F.col("l_partkey").alias("member"))), ["group_id"])
+    return _shown(stats.over_representation(membership, _as_targets(bought)), ["group_id"])
 
 
 def enrichment_multi_set(spark, d):
     membership = _t(spark, d, "part").select(F.col("p_brand").alias("group_id"), F.col("p_partkey").alias("member"))
-    targets = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("set_id"), F.col("l_partkey").alias("member"))
+    targets = _as_targets(_t(spark, d, "lineitem"), F.col("l_suppkey").alias("set_id"))
     return _shown(stats.over_representation(membership, targets, within=["set_id"]), ["set_id", "group_id"])
 
 
@@ -68,8 +76,8 @@ def coverage_status(spark, d):
 
 
 def evidence_merge(spark, d):
-    rows = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey", (1 - F.col("l_discount")).alias("score"), F.col("l_linestatus").alias("method"), (F.col("l_returnflag") == "R").alias("direct"), F.concat_ws("-", "l_returnflag", "l_linenumber").alias("reason"))
-    merged = S.merge_evidence(rows, ["l_partkey"], "score", "method", "direct", "reason")
+    rows = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey", (1 - F.col("l_discount")).alias("score"), F.col("l_linestatus").alias("method"), (F.col("l_returnflag") == "R").alias("direct"), F.concat_ws("-", "l_returnflag", "l_linenumber").alias("reason"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+    merged = S.merge_evidence(rows, ["l_partkey"], "score", "method", "direct", "reason", "seq")
     return merged.select("l_partkey", "n_evidence", F.round("best_score", 6).alias("best_score"), "best_method", "any_direct", F.array_join("methods", ";").alias("methods"), F.array_join("reasons", ";").alias("reasons"))
 
 
@@ -95,17 +103,10 @@ def weighted_score_clamp(spark, d):
     return rows.select("p_partkey", F.round(R.clamp(raw), 6).alias("score"), R.score_band(R.clamp(raw), 0.65, 0.35).alias("level"))
 
 
-def pairwise_similarity_stats(spark, d):
-    e = _t(spark, d, "embeddings").filter("vec_id % 10 = label").select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    other = e.select("label", F.col("vec_id").alias("other_id"), F.col("v").alias("u"))
-    dot = F.aggregate(F.zip_with("v", "u", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    pairs = e.join(other, "label").filter("vec_id < other_id").withColumn("s", dot)
-    return pairs.groupBy("label").agg(F.count("*").alias("n_pairs"), F.round(F.avg("s"), 5).alias("mean"), F.round(F.max("s"), 5).alias("most"), F.round(F.min("s"), 5).alias("least"))
-
-
 def ndcg_mrr_recall(spark, d):
-    rows = _t(spark, d, "labels").join(_t(spark, d, "documents"), "doc_id").select("source", "doc_id", F.col("toxic").alias("label"), F.col("n_chars").cast("double").alias("score"))
-    got = E.rank_metrics(rows, "source", "score", "label", ["doc_id"])
+    """Customers as samples: their urgent orders should be the dear ones."""
+    rows = _t(spark, d, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("label"), F.floor(F.col("o_totalprice") / 50000).cast("double").alias("score"))
+    got = E.rank_metrics(rows, "o_custkey", "score", "label", ["o_orderkey"])
     return got.select("n_samples", *[F.round(c, 6).alias(c) for c in got.columns if c != "n_samples"])
 
 
@@ -143,42 +144,50 @@ def min_max_norm(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     set_enrichment, enrichment_multi_set, go_like_enrichment, best_per_group, topk_per_group, rank_with_gap, coverage_status, evidence_merge, profile_counts, all_pairs_alignment, weighted_score_clamp,
-    pairwise_similarity_stats, ndcg_mrr_recall, overlap_leakage, cv_summary, weighted_average, percentiles, json_contributions, min_max_norm,
+    ndcg_mrr_recall, overlap_leakage, cv_summary, weighted_average, percentiles, json_contributions, min_max_norm,
 )}
 
 
 def _enriched(membership: str, targets: str, keys: str, min_hits: int) -> str:
-    """Common tables of an enrichment over membership(group_id, member) and targets(keys..., member)."""
+    """Common tables of an enrichment over membership(group_id, member) and targets(keys..., member, match_type, match_score)."""
     part = f"PARTITION BY {keys}" if keys else ""
     also = f"{keys}, " if keys else ""
     size_join = f"JOIN sizes USING ({keys})" if keys else "CROSS JOIN sizes"
     return f"""WITH m AS (SELECT DISTINCT group_id, member FROM ({membership}) WHERE group_id IS NOT NULL AND member IS NOT NULL),
  u AS (SELECT count(DISTINCT member) AS n_universe FROM m), g AS (SELECT group_id, count(*) AS n_group FROM m GROUP BY 1),
- t AS (SELECT DISTINCT {also}member FROM ({targets}) WHERE member IN (SELECT member FROM m)),
+ t AS (SELECT * FROM ({targets}) WHERE member IN (SELECT member FROM m)
+       QUALIFY row_number() OVER (PARTITION BY {also}member ORDER BY match_score DESC, CASE match_type WHEN 'direct' THEN 5 WHEN 'exact_structure' THEN 4 WHEN 'fuzzy' THEN 3 ELSE 0 END DESC) = 1),
  sizes AS (SELECT {also}count(*) AS n_target FROM t {f'GROUP BY {keys}' if keys else ''}),
- h AS (SELECT {also}group_id, count(*) AS n_hits FROM t JOIN m USING (member) GROUP BY ALL HAVING count(*) >= {min_hits}),
- r AS (SELECT * FROM h JOIN g USING (group_id) CROSS JOIN u {size_join} WHERE n_group < n_universe),
- p AS (SELECT *, n_target * n_group / CAST(n_universe AS DOUBLE) AS expected, (n_hits / CAST(n_target AS DOUBLE)) / (n_group / CAST(n_universe AS DOUBLE)) AS enrichment, n_hits / CAST(n_group AS DOUBLE) AS coverage,
+ h AS (SELECT {also}group_id, count(*) AS n_hits, list_sum(list(match_score ORDER BY CAST(member AS VARCHAR))) / count(*) AS mapping_mean, min(match_score) AS mapping_min, max(match_score) AS mapping_max, count(*) FILTER (WHERE match_type = 'direct') AS n_direct,
+         count(*) FILTER (WHERE match_type = 'fuzzy') AS n_fuzzy, count(*) FILTER (WHERE match_type = 'recovered_from_chebi') AS n_recovered, count(*) FILTER (WHERE match_type = 'exact_structure') AS n_exact_structure,
+         count(*) FILTER (WHERE match_type = 'structural_neighbor') AS n_structural_neighbor, string_agg(CAST(member AS VARCHAR), ';' ORDER BY CAST(member AS VARCHAR)) AS hit_ids
+       FROM t JOIN m USING (member) GROUP BY {also}group_id HAVING count(*) >= {min_hits}),
+ r AS (SELECT * FROM h JOIN g USING (group_id) CROSS JOIN u {size_join}),
+ p AS (SELECT *, n_hits / CAST(n_target AS DOUBLE) AS target_rate, n_group / CAST(n_universe AS DOUBLE) AS background_rate, n_target * n_group / CAST(n_universe AS DOUBLE) AS expected,
+   n_hits - n_target * n_group / CAST(n_universe AS DOUBLE) AS excess, (n_hits / CAST(n_target AS DOUBLE)) / (n_group / CAST(n_universe AS DOUBLE)) AS enrichment, n_hits / CAST(n_group AS DOUBLE) AS coverage,
    least(1.0, list_sum(list_transform(range(n_hits, least(n_group, n_target) + 1), lambda i: CASE WHEN n_target - i > n_universe - n_group THEN 0.0 ELSE
      exp(lgamma(n_group + 1) - lgamma(i + 1) - lgamma(n_group - i + 1) + lgamma(n_universe - n_group + 1) - lgamma(n_target - i + 1) - lgamma(n_universe - n_group - n_target + i + 1)
        - lgamma(n_universe + 1) + lgamma(n_target + 1) + lgamma(n_universe - n_target + 1)) END))) AS p_value FROM r),
  k AS (SELECT *, row_number() OVER ({part} ORDER BY p_value, group_id) AS rk, count(*) OVER ({part}) AS m FROM p),
  f AS (SELECT *, least(1.0, min(p_value * m / rk) OVER ({part} ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS fdr FROM k),
- l AS (SELECT *, -log10(greatest(fdr, 1e-300)) AS log_fdr FROM f),
- w AS (SELECT *, min(enrichment) OVER ({part}) AS e0, max(enrichment) OVER ({part}) AS e1, min(log_fdr) OVER ({part}) AS l0, max(log_fdr) OVER ({part}) AS l1 FROM l),
- s AS (SELECT *, 0.55 * CASE WHEN l1 > l0 THEN (log_fdr - l0) / (l1 - l0) WHEN l1 > 0 THEN 1.0 ELSE 0.0 END + 0.30 * CASE WHEN e1 > e0 THEN (enrichment - e0) / (e1 - e0) WHEN e1 > 0 THEN 1.0 ELSE 0.0 END + 0.15 * coverage AS score FROM w)
+ l AS (SELECT *, -log10(greatest(p_value, 1e-300)) AS log_p, -log10(greatest(fdr, 1e-300)) AS log_fdr, log2(greatest(enrichment, 1.0)) AS le FROM f),
+ w AS (SELECT *, min(le) OVER ({part}) AS e0, max(le) OVER ({part}) AS e1 FROM l),
+ n AS (SELECT *, {exact_round_sql('0.55 * CASE WHEN e1 - e0 <= 1e-9 * e1 THEN 1.0 ELSE (le - e0) / (e1 - e0) END + 0.30 * coverage + 0.15 * mapping_mean')} AS score,
+   CASE WHEN n_hits >= 3 AND fdr < 0.01 THEN 'high' WHEN n_hits >= 2 AND fdr < 0.05 THEN 'medium' ELSE 'low' END AS confidence FROM w),
+ s AS (SELECT *, row_number() OVER ({part} ORDER BY CASE confidence WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END DESC, score DESC, log_fdr DESC, n_hits DESC, group_id) AS baseline_rank FROM n)
 """
 
 
-_OUT = "n_universe, n_group, n_target, n_hits, " + ", ".join(f"round({c}, 6) AS {c}" for c in _REALS) + ", CASE WHEN n_hits >= 3 AND fdr < 0.01 THEN 'high' WHEN n_hits >= 2 AND fdr < 0.05 THEN 'medium' ELSE 'low' END AS confidence FROM s"
+_OUT = ", ".join(_COUNTS) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in _REALS) + ", " + ", ".join(_TYPES) + ", confidence, hit_ids, baseline_rank FROM s"
 _BRANDS = "SELECT p_brand AS group_id, p_partkey AS member FROM part"
+_AS_TARGETS = "l_partkey AS member, CASE l_returnflag WHEN 'R' THEN 'fuzzy' WHEN 'A' THEN 'exact_structure' ELSE 'direct' END AS match_type, 1 - l_discount AS match_score"
 
 SQL = {
-    "set_enrichment": _enriched(_BRANDS, "SELECT l_partkey AS member FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey < 3", "", 2) + f"SELECT group_id, {_OUT}",
-    "enrichment_multi_set": _enriched(_BRANDS, "SELECT l_suppkey AS set_id, l_partkey AS member FROM lineitem", "set_id", 2) + f"SELECT set_id, group_id, {_OUT}",
+    "set_enrichment": _enriched(_BRANDS, f"SELECT {_AS_TARGETS} FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey < 3", "", 2) + f"SELECT group_id, {_OUT}",
+    "enrichment_multi_set": _enriched(_BRANDS, f"SELECT l_suppkey AS set_id, {_AS_TARGETS} FROM lineitem", "set_id", 2) + f"SELECT set_id, group_id, {_OUT}",
     "go_like_enrichment": _enriched(
         "SELECT p_type || '/' || p_size AS group_id, p_partkey AS member FROM part",
-        "SELECT * FROM (SELECT DISTINCT s_nationkey AS set_id, l_partkey AS member FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R') QUALIFY count(*) OVER (PARTITION BY set_id) >= 3",
+        "SELECT *, 'direct' AS match_type, 1.0 AS match_score FROM (SELECT DISTINCT s_nationkey AS set_id, l_partkey AS member FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R') QUALIFY count(*) OVER (PARTITION BY set_id) >= 3",
         "set_id", 1,
     ) + "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY p_value, group_id) AS rank FROM (SELECT set_id, group_id, n_universe, n_group, n_target, n_hits, round(p_value, 6) AS p_value, round(fdr, 6) AS fdr FROM s)) WHERE rank <= 5",
     "best_per_group": "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1",
@@ -188,9 +197,11 @@ SQL = {
         SELECT o_custkey, o_orderkey, score, direct, rank, n_candidates FROM y WHERE (d AND direct) OR (NOT d AND rank = 1 AND score >= 0.88 AND (n_candidates = 1 OR score >= 0.96 OR gap >= 0.03))""",
     "coverage_status": """SELECT status, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM (SELECT CASE WHEN k IS NULL THEN 'unmatched' WHEN k > 10 THEN 'many' ELSE 'matched' END AS status
         FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) ON c_custkey = o_custkey) GROUP BY status""",
-    "evidence_merge": """WITH x AS (SELECT l_partkey, 1 - l_discount AS score, l_linestatus AS method, l_returnflag = 'R' AS direct, l_returnflag || '-' || l_linenumber AS reason FROM lineitem)
-        SELECT l_partkey, count(*) AS n_evidence, round(max(score), 6) AS best_score, (min(struct_pack(s := -score, m := method))).m AS best_method, bool_or(direct) AS any_direct,
-        array_to_string(list_sort(list(DISTINCT method)), ';') AS methods, array_to_string(list_sort(list(DISTINCT reason))[1:8], ';') AS reasons FROM x GROUP BY l_partkey""",
+    "evidence_merge": """WITH x AS (SELECT l_partkey, 1 - l_discount AS score, l_linestatus AS method, l_returnflag = 'R' AS direct, l_returnflag || '-' || l_linenumber AS reason, l_orderkey * 10 + l_linenumber AS seq FROM lineitem),
+        f AS (SELECT l_partkey, list(reason ORDER BY q)[1:8] AS rs FROM (SELECT l_partkey, reason, min(seq) AS q FROM x GROUP BY 1, 2) GROUP BY 1)
+        SELECT l_partkey, n_evidence, best_score, best_method, any_direct, methods, array_to_string(rs, ';') AS reasons FROM f JOIN (
+        SELECT l_partkey, count(*) AS n_evidence, round(max(score), 6) AS best_score, (min(struct_pack(s := -score, q := seq, m := method))).m AS best_method, bool_or(direct) AS any_direct,
+        array_to_string(list_sort(list(DISTINCT method)), ';') AS methods FROM x GROUP BY l_partkey) USING (l_partkey)""",
     "profile_counts": "SELECT CASE WHEN event_type = 'view' THEN '<empty>' ELSE coalesce(event_type, '<empty>') END AS value, count(*) AS n FROM events GROUP BY 1",
     "all_pairs_alignment": """WITH a AS (SELECT DISTINCT s_nationkey, l_partkey AS member FROM lineitem JOIN supplier ON l_suppkey = s_suppkey), b AS (SELECT p_brand, p_partkey AS member FROM part),
         j AS (SELECT * FROM (SELECT s_nationkey, p_brand, count(*) AS n_common FROM a JOIN b USING (member) GROUP BY 1, 2) JOIN (SELECT s_nationkey, count(*) AS n_a FROM a GROUP BY 1) USING (s_nationkey) JOIN (SELECT p_brand, count(*) AS n_b FROM b GROUP BY 1) USING (p_brand)),
@@ -199,9 +210,7 @@ SQL = {
     "weighted_score_clamp": """WITH a AS (SELECT l_partkey, count(*) AS n, avg(l_discount) AS discount, count(DISTINCT l_suppkey) AS k FROM lineitem GROUP BY 1), mx AS (SELECT max(n) AS mn, max(k) AS mk FROM a),
         r AS (SELECT p_partkey, greatest(0.0, least(0.999, 0.30 * n / mn + 0.12 * (1 - discount) + 0.12 * ln(1 + k) / ln(1 + mk) + least(0.05, 0.02 * ln(1 + n)) + CASE WHEN p_size > 40 THEN -0.5 ELSE 0.5 END)) AS s FROM a, mx, part WHERE l_partkey = p_partkey)
         SELECT p_partkey, round(s, 6) AS score, CASE WHEN s >= 0.65 THEN 'high' WHEN s >= 0.35 THEN 'medium' ELSE 'low' END AS level FROM r""",
-    "pairwise_similarity_stats": """WITH e AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 10 = label)
-        SELECT label, count(*) AS n_pairs, round(avg(s), 5) AS mean, round(max(s), 5) AS most, round(min(s), 5) AS least FROM (SELECT a.label, list_inner_product(a.v, b.v) AS s FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id) GROUP BY label""",
-    "ndcg_mrr_recall": """WITH x AS (SELECT source, doc_id, toxic AS label, CAST(n_chars AS DOUBLE) AS score FROM labels JOIN documents USING (doc_id)),
+    "ndcg_mrr_recall": """WITH x AS (SELECT o_custkey AS source, o_orderkey AS doc_id, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS label, floor(o_totalprice / 50000) AS score FROM orders),
         r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rank, row_number() OVER (PARTITION BY source ORDER BY label DESC, doc_id) AS ideal FROM x),
         q AS (SELECT *, avg(CASE WHEN rank <= 5 THEN 1 / log2(rank + 1) ELSE 0 END) OVER (PARTITION BY source, score) AS share FROM r),
         e AS (SELECT source, sum(label * share) / sum(CASE WHEN ideal <= 5 THEN label / log2(ideal + 1) ELSE 0 END) AS ndcg, max(CASE WHEN label > 0 THEN 1.0 / rank ELSE 0 END) AS mrr, sum(CASE WHEN label > 0 THEN 1 ELSE 0 END) AS p,
@@ -213,5 +222,5 @@ SQL = {
     "weighted_average": "SELECT l_returnflag, l_linestatus, round(sum(l_discount * l_quantity) / sum(l_quantity), 6) AS weighted_mean FROM lineitem GROUP BY 1, 2",
     "percentiles": "SELECT " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 4) AS p{round(p * 100)}" for p in (0.5, 0.9, 0.95, 0.99)) + " FROM lineitem",
     "json_contributions": """SELECT event_id, '{"kind":"' || event_type || '","k":' || coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) || '}' AS contributions FROM events""",
-    "min_max_norm": """SELECT c_custkey, round(CASE WHEN hi > lo THEN (c_acctbal - lo) / (hi - lo) WHEN hi > 0 THEN 1.0 ELSE 0.0 END, 6) AS norm FROM (SELECT *, min(c_acctbal) OVER (PARTITION BY c_mktsegment) AS lo, max(c_acctbal) OVER (PARTITION BY c_mktsegment) AS hi FROM customer)""",
+    "min_max_norm": """SELECT c_custkey, round(CASE WHEN hi > lo THEN (c_acctbal - lo) / (hi - lo) ELSE 1.0 END, 6) AS norm FROM (SELECT *, min(c_acctbal) OVER (PARTITION BY c_mktsegment) AS lo, max(c_acctbal) OVER (PARTITION BY c_mktsegment) AS hi FROM customer)""",
 }

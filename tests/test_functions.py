@@ -17,14 +17,17 @@ def one(spark, expression, **values):
     return df.select(expression.alias("x")).first().x
 
 
-@pytest.mark.parametrize(("raw", "want"), [("<i>&alpha;</i>-D-Glucose", "alpha d glucose"), ("Café's", "cafes"), ("", ""), ("N,N'-Di", "n n di")])
+@pytest.mark.parametrize(("raw", "want"), [("<i>&alpha;</i>-D-Glucose", "alpha d glucose"), ("Café's", "cafes"), ("", ""), ("N,N'-Di", "n n di"), ("5’-x`y", "5 x y"), ("ΑΒ", "alpha beta")])
 def test_normalize_name(spark, raw, want):
     assert one(spark, T.normalize_name(F.col("a")), a=raw) == want
 
 
 def test_variants(spark):
     v = one(spark, T.variants(F.col("a")), a="trans-Berries glasses")
-    assert (v.compact, v.singular, v.stereo_stripped) == ("transberriesglasses", "tran berry glasses", "berries glasses")
+    assert (v.compact, v.singular, v.stereo_stripped) == ("transberriesglasses", "tran berry glasses", "tran berry glasses")
+    v = one(spark, T.variants(F.col("a")), a="cis-D-berries")
+    assert (v.singular, v.stereo_stripped) == ("cis d berry", "berry")
+    assert one(spark, T.variants(F.col("a")), a="alpha-D").stereo_stripped == ""
 
 
 @pytest.mark.parametrize(("n", "k", "d", "x"), [(50, 10, 12, 4), (2000, 80, 300, 25), (30, 29, 20, 20), (10, 3, 3, 0), (100, 5, 5, 6)])
