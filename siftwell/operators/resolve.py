@@ -119,10 +119,11 @@ def division(members: DataFrame, group: str, member: str, required: DataFrame) -
 
 def roots(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """child, root, depth of every child, by pointer doubling: a tree of any depth d takes about log2 d joins, and none once every
-    pointer is at a root. A parent that is no child is a root. What leads into a cycle: the smallest member met, depth -1."""
+    pointer is at a root. A parent that is no child is a root. What leads into a cycle: the last member that a walk meets before
+    it comes to a node again, depth -1."""
     children = edges.select(F.col(child).alias("up")).distinct().withColumn("open", F.lit(True))
-    now = edges.select(F.col(child).alias("n"), F.col(parent).alias("up"), F.lit(1).cast("long").alias("depth"), F.least(child, parent).alias("low"))
-    now = cut(now.join(children, "up", "left").select("n", "up", "depth", "low", F.coalesce("open", F.lit(False)).alias("open")))
+    now = edges.select(F.col(child).alias("n"), F.col(parent).alias("up"), F.lit(1).cast("long").alias("depth"))
+    now = cut(now.join(children, "up", "left").select("n", "up", "depth", F.coalesce("open", F.lit(False)).alias("open")))
     hops, open_before = 1, None
     while True:
         still_open = now.filter("open").agg(F.count_distinct("n")).first()[0]
@@ -132,11 +133,21 @@ def roots(edges: DataFrame, child: str, parent: str) -> DataFrame:
             break
         open_before = still_open
         # Rows at a root are looked up but move no more.
-        above = now.select(F.col("n").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("low").alias("_low"), F.col("open").alias("_open"))
-        moved = now.filter("open").drop("open").join(above, "up").select("n", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"), F.least("low", "_low").alias("low"), F.col("_open").alias("open"))
+        above = now.select(F.col("n").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("open").alias("_open"))
+        moved = now.filter("open").drop("open").join(above, "up").select("n", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"), F.col("_open").alias("open"))
         now = cut(now.filter("not open").unionByName(moved))
         hops *= 2
-    return now.select(F.col("n").alias(child), F.when(F.col("open"), F.col("low")).otherwise(F.col("up")).alias("root"), F.when(F.col("open"), -1).otherwise(F.col("depth")).alias("depth"))
+    done = now.filter("not open").select(F.col("n").alias(child), F.col("up").alias("root"), "depth")
+    if not still_open:
+        return done
+    # What is still open leads into cycles; after so many hops its pointers are the cycles' members.
+    looping = cut(now.filter("open").select("n", "up"))
+    members = cut(looping.select(F.col("up").alias("n")).distinct())
+    inside = edges.select(F.col(child).alias("last"), F.col(parent).alias("entry")).join(members.withColumnRenamed("n", "last"), "last").join(members.withColumnRenamed("n", "entry"), "entry", "left_semi")
+    tails = edges.select(F.col(child).alias("n"), F.col(parent).alias("p")).join(looping.select("n"), "n", "left_semi").join(members, "n", "left_anti")
+    entries = roots(tails, "n", "p").select("n", F.col("root").alias("entry")) if not tails.isEmpty() else members.select("n", F.col("n").alias("entry")).limit(0)
+    entries = entries.union(members.select("n", F.col("n").alias("entry")))
+    return done.union(entries.join(inside, "entry").select(F.col("n").alias(child), F.col("last").alias("root"), F.lit(-1).cast("long").alias("depth")))
 
 
 def forward_fill(lines: DataFrame, order: str, values: dict[str, Column], within: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 
 
 @pytest.fixture(scope="session")
@@ -20,3 +20,16 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def built(spark, tmp_path_factory):
+    """A work folder after the batch build, its metadata, and the fingerprints that went in."""
+    from fixture import make
+
+    from siftwell.plans import build
+    from siftwell.sources.paths import Paths
+
+    root = make(tmp_path_factory.mktemp("work"))
+    fps = spark.createDataFrame([("7", [15, 0]), ("1", [1, 1])], "compound_id string, fp array<long>")
+    return Paths(root), build.run(spark, Paths(root), fps), fps

@@ -58,14 +58,15 @@ def test_tanimoto_and_dice(spark):
 def test_roots_of_chains_and_cycles(spark):
     edges = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (8, 9), (9, 8)], ["child", "parent"])
     got = {r.child: (r.root, r.depth) for r in R.roots(edges, "child", "parent").collect()}
-    assert got == {2: (1, 1), 3: (1, 2), 4: (1, 3), 8: (8, -1), 9: (8, -1)}
+    assert got == {2: (1, 1), 3: (1, 2), 4: (1, 3), 8: (9, -1), 9: (8, -1)}
 
 
 def test_roots_of_deep_chains_and_long_cycles(spark):
     chain = [(k, k - 1) for k in range(1, 2501)]
     cycle = [(10_000 + k, 10_000 + (k + 1) % 300) for k in range(300)] + [(20_000, 10_050)]
     got = {r.child: (r.root, r.depth) for r in R.roots(spark.createDataFrame(chain + cycle, ["child", "parent"]), "child", "parent").collect()}
-    assert got == {k: (0, k) for k, _ in chain} | {k: (10_000, -1) for k, _ in cycle}
+    around = {10_000 + k: (10_000 + (k - 1) % 300, -1) for k in range(300)}
+    assert got == {k: (0, k) for k, _ in chain} | around | {20_000: (10_049, -1)}
 
 
 def test_root_ancestor_of_a_long_conversation(spark, tmp_path):
@@ -75,17 +76,20 @@ def test_root_ancestor_of_a_long_conversation(spark, tmp_path):
 
 
 def test_readers(spark, tmp_path):
-    (tmp_path / "c.tsv").write_text('id\tname\n1\t"a" b\n2\t\n')
-    assert [tuple(r) for r in readers.tsv(spark, str(tmp_path / "c.tsv"), "id string, name string").orderBy("id").collect()] == [("1", '"a" b'), ("2", "")]
+    (tmp_path / "c.tsv").write_text('name\tid\textra\n"a"" x" b\t1\tz\n\t2\nc "q"\t3\t\n')
+    got = readers.tsv(spark, str(tmp_path / "c.tsv"), ["id", "name"], ["absent"]).orderBy("_seq").collect()
+    assert [(r.id, r.name, r.absent) for r in got] == [("1", 'a" x b', ""), ("2", "", ""), ("3", 'c "q"', "")]
+    with pytest.raises(ValueError, match="other"):
+        readers.tsv(spark, str(tmp_path / "c.tsv"), ["other"])
     (tmp_path / "h.txt").write_text("+C\nAMetabolism\nB Carbon\nC    00010  Glycolysis\nB Energy\nC    00190  Oxidative\n")
     got = [tuple(r) for r in readers.hierarchy(spark, str(tmp_path / "h.txt")).orderBy("pathway_id").collect()]
     assert got == [("00010", "Metabolism", "Carbon", "Glycolysis"), ("00190", "Metabolism", "Energy", "Oxidative")]
     (tmp_path / "g.obo").write_text("format-version: 1.2\n\n[Term]\nid: GO:1\nname: one\nnamespace: biological_process\n\n[Term]\nid: GO:2\nname: two\nnamespace: molecular_function\n")
     assert [tuple(r) for r in readers.obo_terms(spark, str(tmp_path / "g.obo")).collect()] == [("GO:1", "one")]
-    fields = ["TAIR", "x", "AT1G01010", "NOT", "GO:1", "r", "e", "w", "P", "n", "AT1G01010"]
+    fields = ["TAIR", "x", "AT1G01010", "NOT", "GO:0000001", "r", "e", "w", "P", "n", "AT1G01010"]
     good = [*fields[:3], "", *fields[4:]]
     (tmp_path / "a.gaf").write_text("!c\n" + "\t".join(fields) + "\n" + "\t".join(good) + "\n")
-    assert [tuple(r) for r in readers.gaf_processes(spark, str(tmp_path / "a.gaf")).collect()] == [("AT1G01010", "GO:1")]
+    assert [tuple(r) for r in readers.gaf_processes(spark, str(tmp_path / "a.gaf")).collect()] == [("AT1G01010", "GO:0000001")]
     (tmp_path / "s.sdf").write_text("mol\nM  END\n> <LM_ID>\nLM1\n\n> <SYNONYMS>\na;\nb\n\n$$$$\nmol\n> <LM_ID>\nLM2\n\n$$$$\n")
     rows = {r.tags["LM_ID"]: r.tags for r in readers.sdf(spark, str(tmp_path / "s.sdf")).collect()}
     assert rows["LM1"]["SYNONYMS"] == "a;\nb"
