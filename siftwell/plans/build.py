@@ -604,6 +604,19 @@ def metadata(s: Standard, matches: DataFrame, info: DataFrame, ranked: DataFrame
     }
 
 
+_STAGES = ("compounds", "xrefs", "structures", "records", "lipids", "base_aliases", "aliases", "matched_records", "matched_lipids", "cids", "resolutions")
+
+
+def load(spark: SparkSession, paths: Paths) -> Standard:
+    """What standardisation gave in a built work folder."""
+    return Standard(*[stage(spark, paths, name) for name in _STAGES])
+
+
+def stage(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
+    """A table that a build kept: those of standardisation, matches, pathways, pathway_names, hits, go, annotated, ranked."""
+    return spark.read.parquet(paths.index(f"stages/{name}"))
+
+
 def run(spark: SparkSession, paths: Paths, fingerprints: DataFrame | None = None, blank_reactome: bool = False) -> dict[str, object]:
     """The whole build from a work folder's files to its tables; gives the metadata. Stages that feed several others are written to
     Parquet beside the indexes and read again."""
@@ -615,7 +628,7 @@ def run(spark: SparkSession, paths: Paths, fingerprints: DataFrame | None = None
         return spark.read.parquet(where)
 
     s = standardise(spark, paths)
-    for name in ("compounds", "xrefs", "structures", "records", "lipids", "base_aliases", "aliases", "cids", "matched_records", "matched_lipids", "resolutions"):
+    for name in _STAGES:
         setattr(s, name, kept(name, getattr(s, name)))
     tables = write_names(s, paths)
     matches = kept("matches", match(s, fingerprints))

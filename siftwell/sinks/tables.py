@@ -52,13 +52,16 @@ def write_tsv(rows: DataFrame, path: str, columns: list[str], order: list[Column
     head = "\t".join((headers or {}).get(c, c) for c in columns)
     lines = cells(ordered, columns, formats).select(F.concat_ws("\t", *[quoted(F.col(f"`{c}`")) for c in columns]).alias("value"))
 
+    # An empty table has no partition to write a header, so it borrows one row.
+    empty = rows.isEmpty()
+    lines = rows.sparkSession.range(1).select(F.lit("").alias("value")) if empty else lines
+
     def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+            if not empty:
+                yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
 
-    if rows.isEmpty():
-        lines = rows.sparkSession.range(0, 1, 1, 1).select(F.lit("").alias("value")).filter("value <> ''")
     lines.mapInArrow(with_header, "value string").write.mode("overwrite").text(path)
 
 
