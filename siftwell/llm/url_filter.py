@@ -27,6 +27,8 @@ DAMPING = 0.85
 TOLERANCE = 1e-3
 #: Rounds between two cuts of the lineage, each with a look at what is left. Few, as the driver keeps each plan that ran.
 CUT_EVERY = 3
+#: Links that a task takes in a round: a graph of fewer is one partition, and its rounds need no shuffle.
+LINKS_PER_TASK = 250_000
 THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -84,17 +86,19 @@ def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
     forward = shares.select(F.col("source").alias("at"), F.col("target").alias("to"), (F.col("weight") / F.col("all_out")).alias("t"), F.lit(0.0).alias("d"))
     backward = shares.select(F.col("target").alias("at"), F.col("source").alias("to"), F.lit(0.0).alias("t"), (F.col("weight") / F.col("all_in")).alias("d"))
     flow = cut(forward.union(backward).groupBy("at", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
+    parts = -(-flow.count() // LINKS_PER_TASK) or 1
+    flow = flow.coalesce(parts)
     # trust and distrust are the mass that moved in the last round, t_rest and d_rest all that came to rest, (1 - damping) of each wave.
     rest = lambda c: (F.col(c) * (1 - damping)).alias(f"{c[0]}_rest")
-    state = start.select("host", "trust", "distrust", rest("trust"), rest("distrust"))
+    state = start.coalesce(parts).select("host", "trust", "distrust", rest("trust"), rest("distrust"))
     while True:
         for _ in range(CUT_EVERY):
             moved = flow.join(state.select(F.col("host").alias("at"), "trust", "distrust").filter("trust > 0 or distrust > 0"), "at")
             moved = moved.select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("d") * damping).alias("distrust"))
             moved = moved.select("host", "trust", "distrust", rest("trust"), rest("distrust"))
             still = state.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"), "t_rest", "d_rest")
-            state = still.unionByName(moved).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "t_rest", "d_rest")])
-        state = cut(state)
+            state = still.unionByName(moved).coalesce(parts).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "t_rest", "d_rest")])
+        state = cut(state.coalesce(parts))
         left = state.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
         if max(left.t or 0.0, left.d or 0.0) <= tolerance:
             return state.select("host", F.col("t_rest").alias("trust"), F.col("d_rest").alias("distrust"))
