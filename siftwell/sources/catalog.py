@@ -181,6 +181,15 @@ def pmn_pathway_stats(spark: SparkSession, files: list[tuple[str, str]]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def pmn_pathway_ecs(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """source_db, name_key and the EC numbers of each pathway name."""
+    parts = []
+    for source, path in files:
+        rows = R.tsv(spark, path, ["Pathway-name"], ["EC"]).withColumn("name_key", T.normalize_name(F.col("Pathway-name"))).filter("name_key <> ''")
+        parts.append(rows.groupBy(F.lit(source).alias("source_db"), "name_key").agg(_merged(T.ec_numbers(F.col("EC"))).alias("ecs")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def lipid_records(spark: SparkSession, path: str) -> DataFrame:
     """LIPID MAPS records by record_id; a repeated id is its last record."""
     tag = lambda n: F.trim(F.coalesce(F.col("tags")[n], F.lit("")))
@@ -224,7 +233,7 @@ def pubchem_stats(spark: SparkSession, path: str, cids: DataFrame, kept: DataFra
 
 def kegg_compounds(spark: SparkSession, path: str) -> DataFrame:
     """kegg_id, primary_name, names (in order) of the compound list."""
-    rows = R.listing(spark, path, ["kegg_id", "names"]).withColumn("names", F.filter(F.transform(F.split("names", ";"), F.trim), lambda x: x != ""))
+    rows = R.listing(spark, path, ["kegg_id", "names"]).withColumn("names", F.filter(F.transform(F.split("names", ";"), lambda x: F.trim(x)), lambda x: x != ""))
     return rows.select("kegg_id", F.coalesce(F.get("names", F.lit(0)), F.col("kegg_id")).alias("primary_name"), "names")
 
 
