@@ -163,10 +163,12 @@ def pairwise_similarity_stats(spark, d):
 
 
 def structure_match(spark, d):
-    """Vectors as compounds blocked by their label as a formula: the best other record of each above .85."""
-    bits = _fingerprints(spark, d).join(_t(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("formula_key")), "vec_id")
-    left = bits.filter("vec_id % 2 = 0").withColumnRenamed("vec_id", "compound_id")
-    got = ST.best_of_formula(left, bits.filter("vec_id % 2 = 1").withColumnRenamed("vec_id", "record_id"), least=0.45)
+    """All vectors as compounds and as records; sixteen neighbours share a formula as compounds, the next sixteen as records."""
+    bits = _fingerprints(spark, d)
+    block = F.floor(F.col("vec_id") / 16)
+    left = bits.select(F.col("vec_id").alias("compound_id"), block.cast("string").alias("formula_key"), "fp")
+    right = bits.select(F.col("vec_id").alias("record_id"), (block - 1).cast("string").alias("formula_key"), "fp")
+    got = ST.best_of_formula(left, right, least=0.45)
     return got.select("compound_id", "record_id", F.round("similarity", 6).alias("similarity"))
 
 
@@ -309,7 +311,7 @@ SQL = {
     "pairwise_similarity_stats": f"""WITH x AS ({_BITS}), p AS (SELECT CAST(floor(a.vec_id / 8) AS BIGINT) AS set_id, {_TANIMOTO} FROM x a JOIN x b ON floor(a.vec_id / 8) = floor(b.vec_id / 8) AND a.vec_id < b.vec_id),
         t AS (SELECT set_id, CASE WHEN s - i > 0 THEN i / CAST(s - i AS DOUBLE) ELSE 0 END AS v FROM p)
         SELECT set_id, count(*) AS n_pairs, round(avg(v), 6) AS mean, round(max(v), 6) AS most, round(min(v), 6) AS least FROM t GROUP BY set_id""",
-    "structure_match": f"""WITH x AS ({_BITS}), p AS (SELECT a.vec_id AS compound_id, b.vec_id AS record_id, {_TANIMOTO} FROM x a JOIN x b USING (label) WHERE a.vec_id % 2 = 0 AND b.vec_id % 2 = 1),
+    "structure_match": f"""WITH x AS ({_BITS}), p AS (SELECT a.vec_id AS compound_id, b.vec_id AS record_id, {_TANIMOTO} FROM x a JOIN x b ON floor(b.vec_id / 16) = floor(a.vec_id / 16) + 1),
         t AS (SELECT *, CASE WHEN s - i > 0 THEN i / CAST(s - i AS DOUBLE) ELSE 0 END AS v FROM p)
         SELECT compound_id, record_id, round(v, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY compound_id ORDER BY v DESC, record_id) AS r FROM t WHERE v >= 0.45) WHERE r = 1""",
     "pathway_category": "SELECT p_partkey, CASE " + " ".join(f"WHEN regexp_matches(name, '(?i){p}') THEN '{n}'" for n, p in C.CATEGORY_PATTERNS) + f" ELSE 'Other' END AS category, p_size % 18 < 17 OR {_any('lower(word)', C.COFACTOR_NAME_TOKENS)} AS cofactor_like FROM ({_named_sql()})",

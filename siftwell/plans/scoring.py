@@ -10,6 +10,7 @@ from ..functions.numbers import exact_round_sql
 from ..operators import evaluate as E
 from ..operators import resolve as R
 from ..operators import select as S
+from . import build
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,9 +143,24 @@ def min_max_norm(spark, d):
     return c.select("c_custkey", F.round(stats.min_max("c_acctbal", ["c_mktsegment"]), 6).alias("norm"))
 
 
+def pathway_score(spark, d):
+    """The thirteen contributions and their score, over parts whose columns stand for a pathway's evidence."""
+    line = _t(spark, d, "lineitem").groupBy("l_partkey").agg(F.count_distinct("l_suppkey").alias("compound_count"), F.count_distinct("l_orderkey").alias("gene_count"))
+    rows = _t(spark, d, "part").join(line, F.col("p_partkey") == F.col("l_partkey"))
+    k = F.col("p_partkey")
+    rows = rows.select(
+        "p_partkey", "compound_count", "gene_count", (F.col("p_size") / 50).alias("match_score"), (k % 2 == 0).alias("chebi_xref_direct"), (k % 3 == 0).alias("structure_validated"),
+        F.when(k % 4 > 0, F.array(F.lit("EC"))).otherwise(F.array().cast("array<string>")).alias("ec_numbers"), (k % 5).alias("reaction_count"), (k % 7 == 0).alias("cofactor_like"), (k % 11 < 4).alias("plantcyc_corroboration"),
+        F.when(k % 13 < 4, "high").when(k % 13 < 8, "medium").otherwise("").alias("plant_reactome_alignment_confidence"), F.when(k % 17 < 5, "term").otherwise("").alias("go_best_term"),
+        F.when(k % 19 < 5, "high").when(k % 19 < 12, "medium").otherwise("low").alias("annotation_confidence"),
+    )
+    scored = build.score(rows)
+    return scored.select("p_partkey", F.round("score", 6).alias("score"), "confidence_level", F.round("contributions.gene_support", 4).alias("gene_support"), F.round("contributions.pathway_specificity", 4).alias("pathway_specificity"))
+
+
 QUERIES = {f.__name__: f for f in (
     set_enrichment, enrichment_multi_set, go_like_enrichment, best_per_group, topk_per_group, rank_with_gap, coverage_status, evidence_merge, profile_counts, all_pairs_alignment, weighted_score_clamp,
-    ndcg_mrr_recall, overlap_leakage, cv_summary, weighted_average, percentiles, json_contributions, min_max_norm,
+    ndcg_mrr_recall, overlap_leakage, cv_summary, weighted_average, percentiles, json_contributions, min_max_norm, pathway_score,
 )}
 
 
@@ -223,4 +239,12 @@ SQL = {
     "percentiles": "SELECT " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 4) AS p{round(p * 100)}" for p in (0.5, 0.9, 0.95, 0.99)) + " FROM lineitem",
     "json_contributions": """SELECT event_id, '{"kind":"' || event_type || '","k":' || coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) || '}' AS contributions FROM events""",
     "min_max_norm": """SELECT c_custkey, round(CASE WHEN hi > lo THEN (c_acctbal - lo) / (hi - lo) ELSE 1.0 END, 6) AS norm FROM (SELECT *, min(c_acctbal) OVER (PARTITION BY c_mktsegment) AS lo, max(c_acctbal) OVER (PARTITION BY c_mktsegment) AS hi FROM customer)""",
+    "pathway_score": f"""WITH a AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS c, count(DISTINCT l_orderkey) AS g FROM lineitem GROUP BY 1), m AS (SELECT max(c) AS mc, max(g) AS mg FROM a),
+        r AS (SELECT p_partkey AS k, p_size / 50.0::DOUBLE AS s, c, g, mc, mg FROM part JOIN a ON p_partkey = l_partkey CROSS JOIN m),
+        t AS (SELECT k, s, g, {exact_round_sql('0.30::DOUBLE * s')} AS t1, {exact_round_sql('0.12::DOUBLE * (ln(1 + g) / ln(1 + mg))')} AS t4, {exact_round_sql('0.10::DOUBLE * (1 - ln(1 + c) / ln(1 + mc))')} AS t5,
+              {exact_round_sql('least(0.05::DOUBLE, 0.02::DOUBLE * ln(1 + k % 5))')} AS t8 FROM r),
+        z AS (SELECT *, greatest(0.0, least(0.999::DOUBLE, t1 + CASE WHEN k % 2 = 0 THEN 0.12 ELSE 0 END::DOUBLE + CASE WHEN k % 3 = 0 THEN 0.08 ELSE 0 END::DOUBLE + t4 + t5 + CASE WHEN k % 4 > 0 THEN 0.06 ELSE 0 END::DOUBLE
+              + CASE WHEN k % 5 > 0 THEN 0.04 ELSE 0 END::DOUBLE + t8 + CASE WHEN k % 7 = 0 THEN -0.12 ELSE 0 END::DOUBLE + CASE WHEN k % 11 < 4 THEN 0.05 ELSE 0 END::DOUBLE
+              + CASE WHEN k % 13 < 4 THEN 0.03 WHEN k % 13 < 8 THEN 0.015 ELSE 0 END::DOUBLE + CASE WHEN k % 17 < 5 THEN 0.02 ELSE 0 END::DOUBLE + CASE WHEN k % 19 < 5 THEN 0.03 WHEN k % 19 < 12 THEN 0.015 ELSE 0 END::DOUBLE)) AS score FROM t)
+        SELECT k AS p_partkey, round(score, 6) AS score, CASE WHEN score >= 0.65 AND g > 0 AND s >= 0.90 THEN 'high' WHEN score >= 0.35 THEN 'medium' ELSE 'low' END AS confidence_level, round(t4, 4) AS gene_support, round(t5, 4) AS pathway_specificity FROM z""",
 }

@@ -1,15 +1,25 @@
+import hashlib
+import html
 import math
+import random
+import re
+import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from siftwell import constants
+from siftwell.functions import numbers
 from siftwell.functions import similarity as sim
 from siftwell.functions import stats
 from siftwell.functions import text as T
+from siftwell.operators import evaluate, structure
 from siftwell.operators import resolve as R
 from siftwell.plans import matching
 from siftwell.sources import readers
+from siftwell.streaming import resolution
 
 
 def one(spark, expression, **values):
@@ -50,6 +60,117 @@ def test_difflib_ratio_of_all_near_lengths(spark, tmp_path):
     assert got == {(a, b): round(SequenceMatcher(None, a, b).ratio(), 6) for a, b in near}
 
 
+def test_bounded_edits_and_fits(spark):
+    pairs = [("glucose", "glucse"), ("glucose", "gluse"), ("glucose", "fructose"), ("", "a"), ("ab", "ab")]
+    got = spark.createDataFrame(pairs, "a string, b string").select(*[sim.within_edits(F.col("a"), F.col("b"), k).alias(f"k{k}") for k in (1, 2)]).collect()
+    assert [tuple(r) for r in got] == [(True, True), (False, True), (False, False), (True, True), (True, True)]
+    sets = spark.createDataFrame([(["x"], ["x", "y"]), (["x"], ["z"]), ([], ["z"])], "a array<string>, b array<string>")
+    got = sets.select(sim.formulas_fit(F.col("a"), F.col("b")), sim.overlap_coefficient(F.col("a"), F.col("b")), sim.jaccard(F.col("a"), F.col("b"))).collect()
+    assert [tuple(r) for r in got] == [(True, 1.0, 0.5), (False, 0.0, 0.0), (True, 0.0, 0.0)]
+    n, k = spark.createDataFrame([(50, 7)], "n int, k int").selectExpr(f"exp({stats.log_choose('n', 'k')}) AS x", "k").first()
+    assert n == pytest.approx(math.comb(50, 7), rel=1e-10)
+
+
+@pytest.mark.parametrize(("n", "k", "d", "x"), [(3_000_000, 1_000_000, 900_000, 300_900), (3_000_000, 1_000_000, 900_000, 299_000), (1_000_000, 500, 2_000, 9), (100_000, 99_000, 98_000, 97_030)])
+def test_hypergeometric_tail_of_large_groups(spark, n, k, d, x):
+    logs = lambda i: math.lgamma(k + 1) - math.lgamma(i + 1) - math.lgamma(k - i + 1) + math.lgamma(n - k + 1) - math.lgamma(d - i + 1) - math.lgamma(n - k - d + i + 1) - math.lgamma(n + 1) + math.lgamma(d + 1) + math.lgamma(n - d + 1)
+    want = math.fsum(math.exp(logs(i)) for i in range(max(x, d + k - n), min(k, d) + 1))
+    assert one(spark, stats.hypergeom_sf("n", "k", "d", "x"), n=n, k=k, d=d, x=x) == pytest.approx(min(1.0, want), rel=1e-5)
+
+
+def test_exact_round_and_formats(spark):
+    values = [2.675, 0.83875, 0.0125, 0.0375, 0.5, 1.005, 0.00005, 0.00015, 7.89999, 0.0, -0.0125, 12.34565]
+    got = [r.x for r in spark.createDataFrame([(v,) for v in values], "v double").select(numbers.exact_round(F.col("v")).alias("x")).collect()]
+    assert got[:-1] == [round(v, 4) for v in values[:-1]]
+    assert [one(spark, numbers.exact_round(F.col("a"), 2), a=v) for v in (2.675, 1.005)] == [2.67, 1.0]
+    assert [one(spark, numbers.formatted(F.col("a"), s), a=v) for v, s in ((0.5, ".6g"), (1e-9, ".6g"), (0.25, ".4f"))] == ["0.5", "1e-09", "0.2500"]
+
+
+def test_token_edits_are_the_rules(spark):
+    stereo, ignorable = set(constants.LEADING_STEREO_TOKENS), set(constants.IGNORABLE_FUZZY_TOKENS)
+
+    def near(a, b):
+        if a == b:
+            return True
+        if len(a) == len(b):
+            off = [(x, y) for x, y in zip(a, b, strict=True) if x != y]
+            return len(off) == 1 and levenshtein(*off[0]) <= 1
+        if abs(len(a) - len(b)) != 1:
+            return False
+        a, b = sorted((a, b), key=len)
+        first = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+        return b[first + 1 :] == a[first:] and (b[first].isdigit() or b[first] in stereo | ignorable)
+
+    def levenshtein(x, y):
+        row = list(range(len(y) + 1))
+        for i, p in enumerate(x, 1):
+            row, last = [i], row
+            for j, q in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (p != q)))
+        return row[-1]
+
+    rng = random.Random(1)
+    words = ["d", "glucose", "glucos", "acid", "5", "hydrate", "acids"]
+    rows = [([rng.choice(words) for _ in range(rng.randint(1, 4))], [rng.choice(words) for _ in range(rng.randint(1, 4))]) for _ in range(600)]
+    got = [r.x for r in spark.createDataFrame(rows, "a array<string>, b array<string>").select(T.within_one_token(F.col("a"), F.col("b")).alias("x")).collect()]
+    assert got == [near(tuple(a), tuple(b)) for a, b in rows]
+
+
+def test_dice_join_loses_nothing(spark):
+    rng = random.Random(2)
+    words = ["the"] * 3 + [f"w{k}" for k in range(12)]
+    sets = lambda n: [(k, sorted({rng.choice(words) for _ in range(rng.randint(1, 7))})) for k in range(n)]
+    left, right = sets(60), sets(60)
+    for least in (0.4, 0.6, 0.85):
+        got = {(r.i, r.j): r.dice for r in R.token_dice_join(spark.createDataFrame(left, "i long, s array<string>"), "i", F.col("s"), spark.createDataFrame(right, "j long, t array<string>"), "j", F.col("t"), least).collect()}
+        want = {(i, j): d for i, a in left for j, b in right if (d := 2 * len(set(a) & set(b)) / (len(a) + len(b))) >= least}
+        assert got == pytest.approx(want)
+
+
+def test_nearest_and_percentiles(spark):
+    rng = random.Random(3)
+    rows = [(k, [rng.getrandbits(20), rng.getrandbits(20)]) for k in range(80)] + [(80, [0]), (81, None), (None, [1])]
+    frame = spark.createDataFrame(rows, "id long, fp array<long>")
+    got = {}
+    for r in structure.nearest(frame.filter("id % 10 = 0"), frame, "id", "fp", 3, 0.3).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.record_id, round(r.similarity, 9)))
+    bits = {i: fp[0] | (fp[1] if len(fp) > 1 else 0) << 64 for i, fp in rows if fp is not None and i is not None}
+    for q in range(0, 81, 10):
+        like = {i: (bin(bits[q] & b).count("1") / bin(bits[q] | b).count("1") if bits[q] | b else 0.0) for i, b in bits.items() if i != q}
+        want = sorted(((-v, i) for i, v in like.items() if v >= 0.3))[:3]
+        assert got.get(q, []) == [(i, round(-v, 9)) for v, i in want]
+    values = [rng.choice([1.0, 2.0, 2.5, 7.0, rng.random()]) for _ in range(501)]
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+    row = evaluate.percentiles(frame, "v", [0.0, 0.5, 0.9, 0.99, 1.0]).first()
+    assert list(row) == pytest.approx(np.percentile(values, [0, 50, 90, 99, 100]).tolist())
+    assert list(evaluate.percentiles(frame.limit(0), "v", [0.5]).first()) == [None]
+
+
+def test_names_beyond_ascii(spark, tmp_path):
+    """Both normalisers against plain Python, over whole texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r for r in matching.nfkd_normalise(spark, "/root/testdata/sf0.001").collect()}
+    for r in docs.collect():
+        text = html.unescape(r.text or "")
+        for a, b in constants.GREEK.items():
+            text = text.replace(a, f" {b} ").replace(a.upper(), f" {b} ")
+        text = "".join(c for c in unicodedata.normalize("NFKD", re.sub(r"<[^>]+>", " ", text)) if not unicodedata.combining(c)).lower().replace("'", "")
+        fold = unicodedata.normalize("NFKD", r.text or "").encode("ascii", "ignore").decode().lower()
+        for mine, want in ((got[r.doc_id].name_md5, text), (got[r.doc_id].folded_md5, fold)):
+            whole = " ".join(re.findall("[a-z0-9]+", want))
+            assert mine == (None if r.text is None else hashlib.md5(whole.encode()).hexdigest())
+
+
+def test_stream_of_names(spark, tmp_path):
+    index = spark.createDataFrame([("p1", "exact", "d glucose"), ("p2", "exact", "d glucose"), ("p3", "compact", "dglucose")], "id string, variant string, key string")
+    spark.createDataFrame([("D-Glucose",), ("none",)], "name string").write.parquet(str(tmp_path / "in"))
+    stream = resolution.resolve_stream(spark.readStream.schema("name string").parquet(str(tmp_path / "in")), "name", index, "id")
+    running = stream.writeStream.format("memory").queryName("named").option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    running.awaitTermination(120)
+    assert sorted((r.name, r.id) for r in spark.table("named").collect() if r.id) == [("D-Glucose", "p1"), ("D-Glucose", "p2")]
+    assert spark.table("named").count() == 3
+
+
 def test_tanimoto_and_dice(spark):
     assert one(spark, sim.tanimoto(F.col("a"), F.col("b")), a=[7, 0], b=[3, 1]) == pytest.approx(0.5)
     assert one(spark, sim.dice(F.col("a"), F.col("b")), a=["x", "y"], b=["y", "z"]) == pytest.approx(0.5)
