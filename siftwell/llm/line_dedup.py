@@ -1,6 +1,6 @@
 """Line dedup: range-partitioned line hashes with a secondary sort by document, streamed into compressed keep bitmaps.
 
-1. Each document's long lines become rows (hash of the key, document, positions): one row for each key of a document.
+1. Each document's long lines become rows (hash of the key, document, positions), one for each key of a document, written once.
 2. Rows are range-partitioned by (hash, document) and sorted by (hash, document, position). As the document is part of the range,
    the rows of a very common line spread over many partitions; a (hash, document) never spans two.
 3. Each partition is streamed: one partial row for each run of a hash (documents, largest document). The few runs that a range
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE
+from .common import LOWER_TABLE, cut
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -139,7 +139,8 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``min_docs`` documents or more keep their lines in the largest id alone. Null and empty texts are one empty line and lose none.
     Rows with a null id take no part and lose no line. Rows that repeat an id are one document; each row has its own bitmap.
     """
-    rows = _long_lines(docs, id_col, text_col, min_chars)
+    # Cut, as the rows are used three times: to find the ranges, to count, and to meet the common lines.
+    rows = cut(_long_lines(docs, id_col, text_col, min_chars))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(parts, "h1", "h2", "doc")
     runs = _stream_runs(ranged.sortWithinPartitions("h1", "h2", "doc", F.element_at("at", 1)).select("h1", "h2", "doc"))
