@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,42 @@ def cascade(tiers: list[tuple[str, float, DataFrame]], left: str, right: str) ->
     return rows.distinct().withColumn("_least", least).filter("tier = _least").drop("_least")
 
 
+#: Rows of a key in one block, and in how many tasks a key's rows are put into blocks.
+BLOCK, SALTS = 1000, 8
+
+
+def _blocks(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """by, and the values of each block of rows as an array of structs."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
+    place = F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(value))
+    blocks = salted.withColumn("_block", F.floor((place - 1) / BLOCK)).groupBy(*by, "_salt", "_block").agg(F.collect_list(F.struct(value)).alias(name))
+    return blocks.select(*by, F.struct("_salt", "_block").alias(f"{name}_at"), name)
+
+
+def keyed_cascade(tiers: list[tuple[str, float, DataFrame, DataFrame]], left: str, right: str) -> DataFrame:
+    """What ``cascade`` returns, of tiers that are equi-joins: (method, score, DataFrame of left and key, DataFrame of key and right),
+    best first; the keys of all tiers have one type. A left key that is null has no match.
+
+    The tier of each left key is found before any match is made. Blocks of left keys then meet blocks of right ones, are dealt out,
+    and only there become rows: however many matches a key has, neither the shuffle nor one task grows with them. Matches are
+    made once; only left keys with several keys in their tier can repeat one, and theirs alone are made distinct."""
+    lefts = reduce(DataFrame.unionByName, [f.select(F.lit(k + 1).alias("tier"), "key", left) for k, (_, _, f, _) in enumerate(tiers)]).dropna().distinct()
+    rights = reduce(DataFrame.unionByName, [f.select(F.lit(k + 1).alias("tier"), "key", right) for k, (*_, f) in enumerate(tiers)]).dropna(subset=["key"]).distinct()
+    of_left = Window.partitionBy(left)
+    found = lefts.join(rights.select("tier", "key"), ["tier", "key"], "left_semi")
+    found = found.withColumn("_least", F.min("tier").over(of_left)).filter("tier = _least").withColumn("_many", F.count("*").over(of_left) > 1)
+    parts = int(lefts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    right_blocks = _blocks(rights, ["tier", "key"], right, "_r")
+
+    def made(rows: DataFrame) -> DataFrame:
+        met = _blocks(rows, ["tier", "key"], left, "_l").join(right_blocks, ["tier", "key"]).repartition(parts, "tier", "key", "_l_at", "_r_at")
+        return met.select("tier", "_r", F.inline("_l")).select("tier", left, F.inline("_r"))
+
+    rows = made(found.filter("not _many")).unionByName(made(found.filter("_many")).distinct())
+    of_tier = lambda place: F.element_at(F.array(*[F.lit(t[place]) for t in tiers]), F.col("tier"))
+    return rows.select(left, right, "tier", of_tier(0).alias("method"), of_tier(1).alias("score"))
+
+
 def preferred(matches: DataFrame, left: str, right: str, sizes: DataFrame, size: str) -> DataFrame:
     """Of each left key the match whose right side has the most (pathways), then the smallest id."""
     return best_per_group(matches.join(sizes, right, "left"), [left], [F.desc_nulls_last(size), F.asc(right)])

@@ -81,10 +81,14 @@ def preferred_record(spark, d):
 
 def tier_cascade(spark, d):
     part, supplier = _t(spark, d, "part"), _t(spark, d, "supplier")
-    keyed = part.filter("p_size < 10").join(supplier, F.col("p_partkey") == F.col("s_suppkey")).select("p_partkey", "s_suppkey")
-    sized = part.filter("p_size < 20").join(supplier, F.col("p_size") == F.col("s_nationkey")).select("p_partkey", "s_suppkey")
-    other = part.join(supplier, F.col("p_partkey") % 97 == F.col("s_suppkey")).select("p_partkey", "s_suppkey")
-    return R.cascade([("direct", 1.0, keyed), ("size", 0.95, sized), ("fallback", 0.85, other)], "p_partkey", "s_suppkey")
+    parts = lambda rows, key: rows.select("p_partkey", key.cast("long").alias("key"))
+    by_key, by_nation = (supplier.select("s_suppkey", F.col(c).cast("long").alias("key")) for c in ("s_suppkey", "s_nationkey"))
+    tiers = [
+        ("direct", 1.0, parts(part.filter("p_size < 10"), F.col("p_partkey")), by_key),
+        ("size", 0.95, parts(part.filter("p_size < 20"), F.col("p_size")), by_nation),
+        ("fallback", 0.85, parts(part, F.col("p_partkey") % 97), by_key),
+    ]
+    return R.keyed_cascade(tiers, "p_partkey", "s_suppkey")
 
 
 def inverted_index_join(spark, d):

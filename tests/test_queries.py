@@ -53,3 +53,23 @@ def test_evidence_with_nulls(spark, tmp_path):
     con.execute(f"COPY lineitem TO '{tmp_path}/lineitem.parquet' (FORMAT PARQUET)")
     got = QUERIES["evidence_merge"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(con.execute(SQL["evidence_merge"]).fetchall())
+
+
+def test_tier_cascade_of_odd_keys(spark, tmp_path, monkeypatch):
+    """Null and repeated ids, several keys of one id, and keys of more rows than a block, against the SQL twin."""
+    from siftwell.operators import resolve
+
+    monkeypatch.setattr(resolve, "BLOCK", 3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part(p_partkey BIGINT, p_size INTEGER)")
+    con.execute("CREATE TABLE supplier(s_suppkey BIGINT, s_nationkey INTEGER)")
+    parts = [(3, 5), (3, 5), (3, 6), (200, 5), (200, 6), (200, 6), (201, 5), (201, 30), (None, 5), (None, 30), (4, None), (300, None), (103, 30), (-4, 40), (-400, 6), (500, 12), (501, 3)]
+    suppliers = [(3, 1), (3, 2), (6, 5), (6, 6), (6, 6), (7, 5), (None, 5), (None, 6), (8, None), (None, None), (-4, 3), (100, 3), (28, 1)]
+    con.executemany("INSERT INTO part VALUES (?, ?)", parts + [(1000 + i, 15) for i in range(70)])
+    con.executemany("INSERT INTO supplier VALUES (?, ?)", suppliers + [(5000 + i, 15) for i in range(60)])
+    for t in ("part", "supplier"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT PARQUET)")
+    got = list(map(tuple, QUERIES["tier_cascade"](spark, str(tmp_path)).collect()))
+    want = con.execute(SQL["tier_cascade"]).fetchall()
+    assert len(want) > 70 * 60
+    assert sorted(got, key=str) == sorted(want, key=str)
