@@ -77,6 +77,19 @@ def test_evidence_of_equal_seq(spark, tmp_path):
         assert sorted(map(tuple, got)) == sorted(con.execute(SQL["evidence_merge"]).fetchall())
 
 
+def test_evidence_rounds_as_its_sql(spark, tmp_path):
+    """Scores halfway between two sixth decimals, too large for these, below them on both sides of zero, and not finite."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE lineitem(l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INTEGER, l_discount DOUBLE, l_returnflag VARCHAR, l_linestatus VARCHAR)")
+    draw = random.Random(4)
+    discounts = [1 - draw.choice([1, -1]) * (draw.randrange(size * 10**6) + 0.5) / 10**6 for size in (1, 10, 1000, 10**5, 10**9) for _ in range(400)]
+    discounts += [-0.0215705, 1.0000001, 1.0000005, 1.0, 0.9999999, -1e300, 1e303, -1.7e308, float("inf"), float("-inf"), float("nan"), None]
+    con.executemany("INSERT INTO lineitem VALUES (?, ?, 1, ?, 'R', 'F')", [(i, i, x) for i, x in enumerate(discounts)])
+    con.execute(f"COPY lineitem TO '{tmp_path}/lineitem.parquet' (FORMAT PARQUET)")
+    got = QUERIES["evidence_merge"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, con.execute(SQL["evidence_merge"]).fetchall()))
+
+
 def test_tier_cascade_of_odd_keys(spark, tmp_path, monkeypatch):
     """Null and repeated ids, several keys of one id, and keys of more rows than a block, against the SQL twin."""
     from siftwell.operators import resolve
